@@ -56,7 +56,11 @@ def declared(text: str | None) -> list:
 def tool_of(entry: object) -> tuple[str | None, str | None, object]:
     """Name, description and parameter schema of a declared entry."""
     if isinstance(entry, str):
-        return entry, None, None
+        try:  # an entry may itself be encoded; else it is a bare name
+            inner = json.loads(entry)
+        except (ValueError, RecursionError):
+            inner = None
+        return tool_of(inner) if isinstance(inner, dict) else (entry, None, None)
     if not isinstance(entry, dict):
         return None, None, None
     inner = entry["function"] if isinstance(entry.get("function"), dict) else entry
