@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import queries_leaks, queries_spans
+from . import queries_leaks, queries_packing, queries_spans
 
-PLANS = (queries_leaks, queries_spans)
+PLANS = (queries_packing, queries_leaks, queries_spans)
 
 
 def queries() -> dict:
