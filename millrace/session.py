@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,3 +46,20 @@ def cut(df: DataFrame) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """Cuts lineage through a written table in the shared folder: columnar and compressed, so smaller than a checkpoint. Removed at exit."""
+    spark = df.sparkSession
+    at = f"{shared_dir(spark)}/millrace-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(at)
+    atexit.register(_remove, spark, at)
+    return spark.read.schema(df.schema).parquet(at)
+
+
+def _remove(spark: SparkSession, at: str) -> None:
+    try:
+        path = spark._jvm.org.apache.hadoop.fs.Path(at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # the session may have ended already  # noqa: BLE001
+        pass
