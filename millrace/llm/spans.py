@@ -7,8 +7,9 @@ function finds all of them: windows are joined on that token's hash, and two win
 
 - windows of equal text (hash of the window, the token and the place) are one class; a class from two records is shared as
   a whole. Classes are aggregated before anything is compared, so copies cost one row each however many they are;
-- classes of the same token are compared in pairs while they are few (`few`); beyond that every start of every class is
-  looked up by the hash of its `span` characters, which is linear, exact and spread over all tasks.
+- of the other classes every start is looked up by the hash of its `span` characters and its place relative to the
+  token: within a task while a token has few classes (`few`), by a shuffle beyond, which spreads a hot token over all tasks.
+  Both are linear in the text and exact.
 """
 
 from __future__ import annotations
@@ -21,15 +22,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut
-from .arrays import Prefix, U, chunks, ends_of, points, sliding_min
+from ..session import keep
+from .arrays import BASE, CHUNK, Prefix, U, chunks, ends_of, mixed, points, sliding_min
 
 #: Characters of a token; shorter tokens repeat more often, longer ones leave fewer places for the smallest hash.
 GRAM = 32
-#: Classes of one token up to which pairs of them are compared.
-FEW = 24
-#: Up to so many live windows their records' ids are broadcast (8 bytes each); beyond, the join shuffles.
-BROADCAST_IDS = 2_000_000
+#: Classes of one token that one task looks through (under 1 KB each).
+FEW = 2048
+#: Up to so many classes (under 100 bytes each) go to the texts; beyond, the join shuffles.
+BROADCAST_CLASSES = 500_000
 _POSTING = pa.schema([("id", pa.int64()), ("token", pa.int64()), ("whole", pa.int64()), ("at", pa.int32()), ("lo", pa.int32()), ("hi", pa.int32())])
 
 
@@ -51,7 +52,8 @@ def windows_of(texts: list[str], span: int, gram: int) -> tuple[np.ndarray, ...]
     last = np.append(first[1:], len(at)) - 1 if len(first) else first
     lo, hi, at, row = starts[first], starts[last] + span, at[first], row[first]
     begin = ends[row] - np.array([len(t) for t in texts], np.int64)[row] if len(row) else row
-    return row, grams[at].view(np.int64), prefix.of(lo, hi).view(np.int64), at - begin, lo - begin, hi - begin
+    whole = mixed(prefix.of(lo, hi) + ((hi - lo).astype(U) << U(32)) + (at - lo).astype(U))
+    return row, grams[at].view(np.int64), whole.view(np.int64), at - begin, lo - begin, hi - begin
 
 
 def compact_windows(docs: DataFrame, span: int, gram: int = GRAM) -> DataFrame:
@@ -67,68 +69,72 @@ def compact_windows(docs: DataFrame, span: int, gram: int = GRAM) -> DataFrame:
     return docs.mapInArrow(run, "id bigint, token bigint, whole bigint, at int, lo int, hi int")
 
 
-def reach(a: np.ndarray, b: np.ndarray) -> int:
-    """Length of the common start."""
-    n = min(len(a), len(b))
-    differ = np.flatnonzero(a[:n] != b[:n])
-    return int(differ[0]) if len(differ) else n
+_KEYS = ["token", "whole"]
+_SINGLE = "token bigint, whole bigint, `from` int, `to` int"
 
 
-def compare(group: list[tuple], span: int) -> Iterator[tuple]:
-    """(class fields, start, end relative to the token) of what single classes share with any other class of their token."""
-    texts = [(np.frombuffer(g[4].encode("utf-32-le", "surrogatepass"), np.uint32), g[2]) for g in group]
-    for i, (token, whole, left, size, _, least, most) in enumerate(group):
-        if least != most:
-            continue  # shared as a whole
-        x, cut_x = texts[i]
-        for j, other in enumerate(group):
-            if i == j or (other[5] == least and other[6] == least):
-                continue
-            y, cut_y = texts[j]
-            before, after = reach(x[:cut_x][::-1], y[:cut_y][::-1]), reach(x[cut_x:], y[cut_y:])
-            if before + after >= span:
-                yield token, whole, left, size, -before, after
+def starts_of(texts: list[str], left: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start relative to the token, hash) of every stretch of `span` characters."""
+    lengths = np.array([len(t) for t in texts], np.int64)
+    begin = ends_of(texts) - lengths
+    n = np.maximum(lengths - span + 1, 0)
+    row = np.repeat(np.arange(len(texts)), n)
+    start = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    return row, start - left[row], Prefix(points(texts)).of(begin[row] + start, begin[row] + start + span)
 
 
-_KEYS = ["token", "whole", "left", "size"]
+def compared(rows: list[tuple], span: int) -> list[tuple]:
+    """(token, whole, from, to), relative to the token, of what classes of one record share with other classes of their token."""
+    token, whole, least, most = (np.array([r[i] for r in rows], np.int64) for i in (0, 1, 3, 4))
+    row, offset, h = starts_of([r[5] for r in rows], np.array([r[2] for r in rows], np.int64), span)
+    if not len(row):
+        return []
+    key = mixed(h ^ mixed(token.view(U)[row] + U(BASE) * offset.astype(U)))
+    order = np.argsort(key)
+    first = np.flatnonzero(np.append(True, key[order][1:] != key[order][:-1]))
+    apart = np.minimum.reduceat(least[row][order], first) != np.maximum.reduceat(most[row][order], first)
+    shared = np.empty(len(key), bool)
+    shared[order] = np.repeat(apart, np.diff(np.append(first, len(key))))
+    at = np.flatnonzero(shared & (least == most)[row])
+    if not len(at):
+        return []
+    new = np.append(True, (at[1:] != at[:-1] + 1) | (row[at][1:] != row[at][:-1]))
+    a, b = at[new], at[np.append(new[1:], True)]
+    return list(zip(token[row[a]].tolist(), whole[row[a]].tolist(), offset[a].tolist(), (offset[b] + span).tolist()))
 
 
-def in_pairs(live: DataFrame, span: int) -> DataFrame:
-    """Compares the classes of each token; a token's classes are at most `few`."""
+def in_tasks(live: DataFrame, span: int) -> DataFrame:
+    """Looks every start of a class up among the other classes of its token, which lie in the same task."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept: list[tuple] = []
-        names = [*_KEYS, "from", "to"]
+        size = 0
         for frame in frames:
-            out, rows = [], list(zip(*(frame[c].tolist() for c in [*_KEYS, "text", "least", "most"])))
-            for r in rows:
-                if kept and kept[0][0] != r[0]:
-                    out += compare(kept, span)
-                    kept = []
+            out = []
+            for r in zip(*(frame[c].tolist() for c in [*_KEYS, "left", "least", "most", "text"])):
+                if size > CHUNK and kept[-1][0] != r[0]:
+                    out += compared(kept, span)
+                    kept, size = [], 0
                 kept.append(r)
-            yield pd.DataFrame(out, columns=names)
-        yield pd.DataFrame(list(compare(kept, span)), columns=names)
+                size += len(r[5])
+            yield pd.DataFrame(out, columns=["token", "whole", "from", "to"])
+        yield pd.DataFrame(compared(kept, span) if kept else [], columns=["token", "whole", "from", "to"])
 
-    return live.repartition("token").sortWithinPartitions("token").mapInPandas(run, "token bigint, whole bigint, left int, size int, `from` int, `to` int")
+    return live.repartition("token").sortWithinPartitions("token").mapInPandas(run, _SINGLE)
 
 
-def by_starts(live: DataFrame, span: int) -> DataFrame:
-    """The same for tokens with any number of classes, through the hash of every stretch of `span` characters."""
+def across_tasks(live: DataFrame, span: int) -> DataFrame:
+    """The same for tokens of any number of classes: the starts are rows, aggregated before they are shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, texts in chunks(batch):
-                lengths = np.array([len(t) for t in texts], np.int64)
-                begin = ends_of(texts) - lengths
-                n = np.maximum(lengths - span + 1, 0)
-                row = np.repeat(np.arange(len(texts)), n)
-                start = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                h = Prefix(points(texts)).of(begin[row] + start, begin[row] + start + span)
+                left = batch.column("left").to_numpy()[first : first + len(texts)]
+                row, offset, h = starts_of(texts, left, span)
                 part = pa.Table.from_batches([batch.select([*_KEYS, "least", "most"])]).take(pa.array(first + row))
-                offset = pa.array(start - part["left"].to_numpy(), pa.int32())
-                yield from part.append_column("offset", offset).append_column("h", pa.array(h.view(np.int64))).combine_chunks().to_batches()
+                yield from part.append_column("offset", pa.array(offset, pa.int32())).append_column("h", pa.array(h.view(np.int64))).combine_chunks().to_batches()
 
-    every = live.mapInArrow(run, "token bigint, whole bigint, left int, size int, least bigint, most bigint, offset int, h bigint")
+    every = live.mapInArrow(run, "token bigint, whole bigint, least bigint, most bigint, offset int, h bigint")
     key = ["token", "offset", "h"]
     shared = every.groupBy(key).agg(F.min("least").alias("a"), F.max("most").alias("b")).where("a <> b").select(key)
     single = every.where("least = most")
@@ -142,26 +148,21 @@ def shared_spans(docs: DataFrame, id_col: str, text_col: str, span: int = 400, g
     A null, empty or shorter text has none. Records with a null id are left out. A stretch that occurs twice in one record
     only isn't shared. Other columns of docs are not read.
     """
-    gram = min(gram, span)
     docs = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    windows = compact_windows(docs, span, gram).withColumn("left", F.col("at") - F.col("lo")).withColumn("size", F.col("hi") - F.col("lo"))
-    windows = cut(windows)
-    classes = windows.groupBy(_KEYS).agg(F.min("id").alias("least"), F.max("id").alias("most"), F.min_by("lo", "id").alias("lo"))
+    windows = keep(compact_windows(docs, span, min(gram, span)))
+    classes = windows.groupBy(_KEYS).agg(F.min(F.struct("id", "lo", "at", "hi")).alias("one"), F.max("id").alias("most"))
+    classes = classes.select(*_KEYS, F.col("one.id").alias("least"), "most", "one.lo", "one.at", "one.hi")
     tokens = classes.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("least").alias("a"), F.max("most").alias("b")).where("a <> b").select("token", "n")
-    live = cut(classes.join(tokens, "token"))
-    found = live.where("least <> most").select(*_KEYS, (-F.col("left")).alias("from"), (F.col("size") - F.col("left")).alias("to"))
-    several = live.where("n > 1")
-    # every class is read from the text of its least record
-    ids = several.select(F.col("least").alias("id")).distinct()
-    if several.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
-        texts = docs.join(F.broadcast(ids), "id", "left_semi")
-    else:
-        texts = docs
-    texts = texts.join(several.withColumn("id", F.col("least")), "id").select(*_KEYS, "least", "most", "n", F.substring("text", F.col("lo") + 1, F.col("size")).alias("text"))
-    pairs = in_pairs(texts.where(F.col("n") <= few).drop("n"), span)
-    found = found.unionByName(pairs)
-    if several.where(F.col("n") > few).limit(1).count():
-        found = found.unionByName(by_starts(texts.where(F.col("n") > few).drop("n"), span))
+    live = keep(classes.join(tokens, "token"))
+    found = live.where("least <> most").select(*_KEYS, (F.col("lo") - F.col("at")).alias("from"), (F.col("hi") - F.col("at")).alias("to"))
+    # every other class is read from the text of its least record
+    several = live.where("n > 1").select(F.col("least").alias("id"), *_KEYS, "most", "lo", "at", "hi", "n")
+    if several.limit(BROADCAST_CLASSES + 1).count() <= BROADCAST_CLASSES:
+        several = F.broadcast(several)
+    texts = docs.join(several, "id").select(*_KEYS, (F.col("at") - F.col("lo")).alias("left"), F.col("id").alias("least"), "most", "n", F.substring("text", F.col("lo") + 1, F.col("hi") - F.col("lo")).alias("text"))
+    found = found.unionByName(in_tasks(texts.where(F.col("n") <= few).drop("n"), span))
+    if live.where(F.col("n") > few).limit(1).count():
+        found = found.unionByName(across_tasks(texts.where(F.col("n") > few).drop("n"), span))
     parts = windows.join(found, _KEYS).select("id", (F.col("at") + F.col("from")).alias("a"), (F.col("at") + F.col("to")).alias("b"))
     return stretches(parts)
 
