@@ -95,9 +95,10 @@ def ranked(items: DataFrame, classes: list[str], order: list[str], salts: int) -
     return local.join(sizes, [*classes, "_salt"]).withColumn("rank", F.col("_n") + F.col("_before")).drop("_salt", "_n", "_before")
 
 
-def pieces_of(counts: DataFrame, limits: DataFrame) -> DataFrame:
+def pieces_of(counts: DataFrame, limits: list[tuple[int, int]]) -> DataFrame:
     """(limit_id, capacity, id, piece, from_token, n_tokens): every text, cut where it exceeds the capacity."""
-    each = counts.crossJoin(F.broadcast(limits))  # a few limits by construction, see pack()
+    each = F.array(*[F.struct(F.lit(i).cast("int").alias("limit_id"), F.lit(c).cast("bigint").alias("capacity")) for i, c in limits])
+    each = counts.withColumn("limit", F.explode(each)).select("id", "n_tokens", "limit.*")
     full = F.expr("cast(n_tokens div capacity as int)")
     rest = F.col("n_tokens") - full * F.col("capacity")
     count = F.greatest(full + F.when(rest > 0, 1).otherwise(0), F.lit(1))
@@ -115,8 +116,9 @@ def pack(counts: DataFrame, limits: DataFrame, method: str = "planned", salts: i
     if len(wanted) > most_limits:
         raise ValueError(f"more than {most_limits} limits")
     spark = counts.sparkSession
-    known = spark.createDataFrame(wanted, "limit_id int, capacity bigint") if wanted else spark.createDataFrame([], "limit_id int, capacity bigint")
-    items = pieces_of(counts, known)
+    if not wanted:
+        return spark.createDataFrame([], "limit_id int, id bigint, piece int, from_token bigint, n_tokens bigint, seq bigint")
+    items = pieces_of(counts, wanted)
     empty = items.where("n_tokens <= 0").withColumn("seq", F.lit(0).cast("bigint"))
     items = items.where("n_tokens > 0")
     if method == "harmonic":
