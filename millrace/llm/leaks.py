@@ -49,7 +49,9 @@ def sampled(words: np.ndarray, at: np.ndarray, how: Search, walk: int) -> np.nda
     """Key of each window's embedding at the sampled places; words past the window's end are blanks."""
     width = min(how.window, 21)  # three steps a word, one bit of 64 a step
     rng = np.random.default_rng(7919 + walk)
-    places = set(np.sort(rng.choice(2 * width if how.edits else width, min(how.samples, width), replace=False)).tolist())
+    # a walk needs two steps a word on average; passages without edits lose nothing by more samples, so all steps count
+    steps = 2 * width
+    places = set(rng.choice(steps, min(how.samples, steps), replace=False).tolist()) if how.edits else set(range(steps))
     bits = mixed(words ^ U(rng.integers(1 << 63)))
     i = at.copy()
     end = at + how.window
@@ -105,6 +107,16 @@ def edits_between(a: np.ndarray, b: np.ndarray, most: int) -> int:
     return min(row)
 
 
+def common(a: np.ndarray, at: np.ndarray, b: np.ndarray, place: np.ndarray, how: Search) -> np.ndarray:
+    """How many words of each window of b stand in the window of a, without edits at the same place."""
+    reach = np.arange(how.window + how.edits)
+    x = a[np.minimum(at[:, None] + reach, len(a) - 1)]
+    y = b[np.minimum(place[:, None] + np.arange(how.window), len(b) - 1)]
+    if not how.edits:
+        return (x == y).sum(axis=1)
+    return (x[:, None, :] == y[:, :, None]).any(axis=2).sum(axis=1)
+
+
 def same(a: np.ndarray, b: np.ndarray) -> int:
     n = min(len(a), len(b))
     differ = np.flatnonzero(a[:n] != b[:n])
@@ -122,14 +134,18 @@ def hits_in(texts: list[str], index: Index, how: Search) -> dict[tuple[int, int]
         return best
     for walk in range(how.walks):
         key = sampled(words, at, how, walk)
-        lo = np.searchsorted(index.keys[walk], key, "left")
-        lo[lo == len(index.keys[walk])] = 0
-        near = np.flatnonzero(index.keys[walk][lo] == key) if len(index.keys[walk]) else lo[:0]
-        hi = np.searchsorted(index.keys[walk], key[near], "right")
-        for w, a, b in zip(near.tolist(), lo[near].tolist(), hi.tolist()):
-            d, p = int(text[w]), int(at[w])
-            begin, end = int(first[d]), int(first[d] + count[d])
-            for c in range(a, b):
+        if not len(index.keys[walk]):
+            continue
+        lo, hi = np.searchsorted(index.keys[walk], key, "left"), np.searchsorted(index.keys[walk], key, "right")
+        near = np.flatnonzero(hi > lo)
+        windows = np.repeat(near, (hi - lo)[near])
+        entries = np.arange(len(windows)) - np.repeat(np.cumsum((hi - lo)[near]) - (hi - lo)[near], (hi - lo)[near]) + lo[windows]
+        for part in range(0, len(windows), 50_000):
+            w, c = windows[part : part + 50_000], entries[part : part + 50_000]
+            alike = common(words, at[w], index.words, index.place[walk][c], how) >= how.window - how.edits
+            for w, c in zip(w[alike].tolist(), c[alike].tolist()):
+                d, p = int(text[w]), int(at[w])
+                begin, end = int(first[d]), int(first[d] + count[d])
                 t, q = int(index.item[walk][c]), int(index.place[walk][c])
                 start, stop = int(index.first[t]), int(index.first[t] + index.count[t])
                 left = same(words[begin:p][::-1], index.words[start:q][::-1])

@@ -9,7 +9,7 @@ from ..session import table
 from .leaks import Search, leaks
 
 EXACT = Search(run=12)
-EDITED = Search(run=12, edits=2, walks=6, samples=5)
+EDITED = Search(run=12, edits=2, walks=12, samples=5)
 
 
 def searched(spark: SparkSession, sf_dir: str, how: Search) -> DataFrame:
