@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import queries_leaks, queries_packing, queries_similar, queries_spans
+from . import queries_leaks, queries_packing, queries_residue, queries_similar, queries_spans
 
-PLANS = (queries_similar, queries_packing, queries_leaks, queries_spans)
+PLANS = (queries_similar, queries_residue, queries_packing, queries_leaks, queries_spans)
 
 
 def queries() -> dict:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import keep
@@ -29,3 +31,27 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         if edges.groupBy("u").count().where("count > 1").limit(1).count() == 0 and open_ends.limit(1).count() == 0:
             break
     return edges.select(F.col("u").alias("id"), F.col("v").alias("comp")).union(edges.select(F.col("v").alias("id"), F.col("v").alias("comp")).distinct())
+
+
+def linked(met: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Verified links (a, b) that hold together whatever shares a bucket and verifies, from met (key, id, first, n).
+
+    The members of a bucket are first compared with its first one, which is linear; then those of different components
+    with each other. `verify` keeps the pairs (a, b) that are links.
+    """
+    links = keep(verify(met.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()).select("a", "b"))
+    comps = components(links)
+    left = met.where("n > 2").join(comps, "id", "left").select("key", "id", "first", F.coalesce("comp", "id").alias("comp"))
+    several = left.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
+    left = keep(left.join(several, "key", "left_semi"))
+    x = left.select("key", F.col("id").alias("a"), F.col("comp").alias("ca"), "first")
+    y = left.select("key", F.col("id").alias("b"), F.col("comp").alias("cb"))
+    rest = x.join(y, "key").where("a < b and ca <> cb and a <> first and b <> first").select("a", "b").distinct()
+    return links.union(verify(rest).select("a", "b"))
+
+
+def buckets(postings: DataFrame) -> DataFrame:
+    """(key, id, first, n): the postings (key, id) of every key that has several, with the least id and the number."""
+    own = Window.partitionBy("key")
+    met = postings.withColumn("first", F.min("id").over(own)).withColumn("n", F.count(F.lit(1)).over(own))
+    return met.where("n > 1")

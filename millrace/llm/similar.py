@@ -18,12 +18,12 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import keep
 from .arrays import U, chunks, mixed
-from .components import components
+from .components import buckets, components, linked
 from .words import words_of
 
 #: Up to so many ids (8 bytes each) are broadcast to select rows; beyond, the join shuffles.
@@ -173,24 +173,10 @@ def groups(texts: DataFrame, how: Likeness = Likeness()) -> DataFrame:
     few = copies.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     own = texts.join(F.broadcast(copies.select("id")) if few else copies.select("id"), "id", "left_anti")
 
-    bucket = Window.partitionBy("key")
-    postings = signatures(own, how, keys=True).select("id", F.explode("x").alias("key"))
-    met = postings.withColumn("first", F.min("id").over(bucket)).withColumn("n", F.count(F.lit(1)).over(bucket))
-    met = keep(met.where("n > 1"))
+    met = keep(buckets(signatures(own, how, keys=True).select("id", F.explode("x").alias("key"))))
     digests = keep(chosen_digests(own, met, how))
-    pairs = met.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
-    links = keep(verified(pairs, digests, own, how).select("a", "b"))
-    comps = components(links)
-
-    # what shares a bucket but not yet a component is compared with each other
-    open_ = met.where("n > 2").join(comps, "id", "left").select("key", "id", "first", F.coalesce("comp", "id").alias("comp"))
-    several = open_.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
-    open_ = keep(open_.join(several, "key", "left_semi"))
-    x = open_.select("key", F.col("id").alias("a"), F.col("comp").alias("ca"), "first")
-    y = open_.select("key", F.col("id").alias("b"), F.col("comp").alias("cb"))
-    rest = x.join(y, "key").where("a < b and ca <> cb and a <> first and b <> first").select("a", "b").distinct()
-    more = verified(rest, digests, own, how).select("a", "b")
-    every = links.union(more).union(copies.select(F.col("rep").alias("a"), F.col("id").alias("b")))
+    links = linked(met, lambda pairs: verified(pairs, digests, own, how))
+    every = links.union(copies.select(F.col("rep").alias("a"), F.col("id").alias("b")))
     return components(every).select("id", F.col("comp").alias("group"))
 
 
