@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import queries_cuts, queries_leaks, queries_packing, queries_residue, queries_similar, queries_spans
+from . import queries_cuts, queries_defects, queries_leaks, queries_packing, queries_residue, queries_similar, queries_spans
 
-PLANS = (queries_cuts, queries_similar, queries_residue, queries_packing, queries_leaks, queries_spans)
+PLANS = (queries_cuts, queries_similar, queries_defects, queries_residue, queries_packing, queries_leaks, queries_spans)
 
 
 def queries() -> dict:

@@ -12,7 +12,7 @@ ABBREVIATIONS = frozenset(
     "approx. cf. no. e.g. i.e. vs. dr. mr. mrs. ms. prof. fig. eq. ca. z.b. bzw. d.h. nr. vgl. inkl. env. p.ex. c.-à-d. n° av. aprox. p.ej. núm. pág. sr. sra. art.".split()
 )
 # Words for nothing and labels that an empty answer may consist of.
-NOTHING = frozenset("n/a na none null nil nan undefined empty response answer antwort réponse respuesta output result content [no content] [empty] <answer></answer> tbd todo".split())
+NOTHING = frozenset("n/a na none null nil nan undefined empty response answer antwort réponse respuesta output result content [no content] [empty] <answer></answer> tbd todo".split()) | {"no content", "no answer", "no response"}
 #: What follows the closing mark of a complete text.
 AFTER = re.compile(r"(?:\s*(?:\[\d+\]|\[\^\d+\]|[✔✓☑🙂😀🙏👍]|[\"”“»)\]*_’'>}]))+$")
 #: Texts that trail off on purpose.
