@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from .plans import nested
+from .plans import nested, sampling
 
-PLANS = (nested,)
+PLANS = (nested, sampling)
 
 
 def queries() -> dict:
