@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from .plans import nested, sampling
+from .plans import chat, nested, sampling
 
-PLANS = (nested, sampling)
+PLANS = (nested, sampling, chat)
 
 
 def queries() -> dict:
