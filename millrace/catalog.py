@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from .plans import chat, nested, sampling
+from .plans import chat, nested, sampling, training
 
-PLANS = (nested, sampling, chat)
+PLANS = (nested, sampling, chat, training)
 
 
 def queries() -> dict:
