@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from .plans import chat, nested, sampling, training
+from .plans import chat, joins, nested, sampling, text, training
 
-PLANS = (nested, sampling, chat, training)
+PLANS = (nested, sampling, chat, training, text, joins)
 
 
 def queries() -> dict:
