@@ -10,8 +10,6 @@ from __future__ import annotations
 
 import random
 import re
-import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,8 +19,10 @@ from pyspark.sql import functions as F
 
 from ..session import keep
 from . import cuts
+from .arrays import U, mixed
 from .endings import NOTHING
 from .residue_rules import QUOTED
+from .words import words_of
 
 DEFECTS = ("empty", "truncated", "refusal", "copied", "wrong_language")
 #: Pairs of the sample that training pairs are made of, taken by the hash of their ids.
@@ -90,70 +90,114 @@ _NAMES = {x: re.compile(n, re.I) for x, n in LANGUAGE_NAMES.items()}
 LANGS = tuple(STOPWORDS)
 
 
-def languages(words: list[str]) -> np.ndarray:
-    count = Counter(_ONLY[w] for w in words if w in _ONLY)
-    return np.array([count[x] for x in LANGS], float)
+DENSE = 16
+_NUMBER = re.compile(r"\d")
 
 
-def grams(words: list[str], n: int) -> list[tuple]:
-    return [tuple(words[i : i + n]) for i in range(len(words) - n + 1)]
+def stop_hashes() -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words that only one language has, sorted, and the languages' numbers."""
+    if not _STOPS:
+        words = list(_ONLY)
+        h = words_of([" ".join(words)])[0]
+        order = np.argsort(h)
+        _STOPS.append((h[order], np.array([LANGS.index(_ONLY[w]) for w in words])[order]))
+    return _STOPS[0]
 
 
-def cover(a: Counter, b: Counter) -> float:
-    return sum((a & b).values()) / max(1, sum(a.values()))
+_STOPS: list[tuple[np.ndarray, np.ndarray]] = []
 
 
-DENSE = 16
+def by_language(row: np.ndarray, words: np.ndarray, n: int) -> np.ndarray:
+    """How many words of each language every row has."""
+    known, lang = stop_hashes()
+    at = np.minimum(np.searchsorted(known, words), len(known) - 1)
+    hit = known[at] == words
+    return np.bincount(row[hit] * len(LANGS) + lang[at[hit]], minlength=n * len(LANGS)).reshape(n, len(LANGS)).astype(float)
+
+
+def rows_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, hash) of all words, (row, hash) of all pairs of neighbouring words."""
+    words, _, count = words_of(texts)
+    row = np.repeat(np.arange(len(texts)), count)
+    pair = np.flatnonzero(row[1:] == row[:-1])
+    return row, words, row[pair], mixed(words[pair] * U(0x100000001B3) + words[pair + 1])
+
 
+def overlap(row_a: np.ndarray, a: np.ndarray, row_b: np.ndarray, b: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per row how many of a's are b's, each of b's used once and any number of times."""
+    ua, ia, ca = np.unique(mixed(a ^ mixed(row_a.astype(U) + U(1))), return_index=True, return_counts=True)
+    ub, cb = np.unique(mixed(b ^ mixed(row_b.astype(U) + U(1))), return_counts=True)
+    _, x, y = np.intersect1d(ua, ub, assume_unique=True, return_indices=True)
+    rows = row_a[ia[x]]
+    return np.bincount(rows, np.minimum(ca[x], cb[y]), n), np.bincount(rows, ca[x], n)
 
-def features(prompt: str | None, content: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """(pair features, hashed n-gram indices) of one pair; without how the response ends, which is joined."""
-    prompt, text = prompt or "", THOUGHT.sub(" ", content or "")
-    bare = TAG.sub(" ", text).strip(" \t\r\n\v\f ​﻿:.`\"'[](){}<>*_-|/")
-    says = bool(WORD.search(bare)) and bare.lower() not in NOTHING
-    p, c = WORD.findall(prompt.lower()), WORD.findall(text.lower()) if says else []
-    x = np.zeros(DENSE, np.float32)
-    x[0] = not says
-    x[1] = min(len(c), 60) / 60
-    x[2] = len(c) <= 3
-    if c and p:
-        pb, cb = Counter(p), Counter(c)
-        a, b = cover(cb, pb), cover(pb, cb)
-        p2, c2 = Counter(grams(p, 2)), Counter(grams(c, 2))
-        f, g = cover(c2, p2), cover(p2, c2)
-        repeat = float(bool(REPEAT.search(prompt)))
-        # copies of copies: the response may hold the prompt more than once
-        loops = sum(n for w, n in c2.items() if w in p2) / max(1, sum(c2.values()))
-        x[3:9] = a, b, min(f, 1.0), g, min(max(f, loops), g), min(max(a, loops), b) ** 2
-        x[9] = repeat
-        x[10] = (1 - repeat) * min(max(f, loops), g) * float(max(f, loops) > 0.5)
-        lp, lc = languages(p), languages(WORD.findall(QUOTED.sub(" ", text).lower()))
-        if lc.sum() >= 3 and lp.sum() >= 3:
-            mine, own = int(lp.argmax()), lc / lc.sum()
-            best = int(lc.argmax())
-            asked = bool(_NAMES[LANGS[best]].search(prompt)) if best != mine else False
-            x[11] = own[mine]
-            x[12] = best != mine and not asked
-            x[13] = x[12] * own[best]
-            x[14] = asked
-    x[15] = sum(w.isdigit() for w in c) > 0
-    seen = [zlib.crc32(w.encode()) % HASHED for w in c[:400]]
-    seen += [zlib.crc32(" ".join(w).encode()) % HASHED for w in grams(c[:400], 2)]
-    return x, np.array(seen, np.int64)
+
+def features(pairs: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(pair features, and of the hashed n-grams, scaled to length one: row, index, value); without how a response ends, which is joined."""
+    n = len(pairs)
+    x = np.zeros((n, DENSE), np.float32)
+    asks, texts, plain, quoted = [], [], [], []
+    for i, (prompt, content) in enumerate(pairs):
+        text = content or ""
+        if "<" in text:
+            text = THOUGHT.sub(" ", text)
+        bare = (TAG.sub(" ", text) if "<" in text else text).strip(" \t\r\n\v\f\xa0\u200b\ufeff:.`\"'[](){}<>*_-|/")
+        says = bool(WORD.search(bare)) and not (len(bare) < 40 and bare.lower() in NOTHING)
+        x[i, 0] = not says
+        asks.append((prompt or "").lower())
+        texts.append(text.lower() if says else "")
+        x[i, 15] = says and bool(_NUMBER.search(text))
+        if says and any(q in text for q in "\"“„«"):
+            quoted.append(i)
+            plain.append(QUOTED.sub(" ", text).lower())
+    pr, pw, pgr, pg = rows_of(asks)
+    cr, cw, cgr, cg = rows_of(texts)
+    pn, cn, pgn, cgn = (np.bincount(r, minlength=n) for r in (pr, cr, pgr, cgr))
+    both = (pn > 0) & (cn > 0)
+    one, _ = overlap(cr, cw, pr, pw, n)
+    two, loops = overlap(cgr, cg, pgr, pg, n)
+    a, b, f, g = one / np.maximum(cn, 1), one / np.maximum(pn, 1), two / np.maximum(cgn, 1), two / np.maximum(pgn, 1)
+    loops = np.maximum(f, loops / np.maximum(cgn, 1))  # a response may hold the prompt more than once
+    x[:, 1], x[:, 2] = np.minimum(cn, 60) / 60, cn <= 3
+    repeat = np.array([bool(REPEAT.search(p)) if t > 0.3 else False for p, t in zip(asks, loops)], float)
+    for k, v in enumerate((a, b, f, g, np.minimum(loops, g), np.minimum(np.maximum(loops, a), b) ** 2, repeat, (1 - repeat) * np.minimum(loops, g) * (loops > 0.5)), 3):
+        x[both, k] = v[both]
+    lp, lc = by_language(pr, pw, n), by_language(cr, cw, n)
+    if quoted:
+        qr, qw, _, _ = rows_of(plain)
+        lc[quoted] = by_language(qr, qw, len(plain))
+    sure = both & (lc.sum(axis=1) >= 3) & (lp.sum(axis=1) >= 3)
+    mine, best, own = lp.argmax(axis=1), lc.argmax(axis=1), lc / np.maximum(lc.sum(axis=1, keepdims=True), 1)
+    every = np.arange(n)
+    other = sure & (mine != best)
+    asked = np.array([bool(o and _NAMES[LANGS[k]].search(p)) for o, k, p in zip(other, best, asks)], bool)
+    x[sure, 11] = own[every, mine][sure]
+    x[:, 12] = other & ~asked
+    x[:, 13] = x[:, 12] * own[every, best]
+    x[:, 14] = asked
+    key, count = np.unique(np.concatenate([cr * HASHED + (cw % U(HASHED)).astype(np.int64), cgr * HASHED + (cg % U(HASHED)).astype(np.int64)]), return_counts=True)
+    row, index = key // HASHED, key % HASHED
+    length = np.sqrt(np.bincount(row, count.astype(float) ** 2, n))
+    return x, row, index, count / length[row] if len(row) else count.astype(float)
 
 
 def dense_of(pairs: list[tuple]) -> np.ndarray:
-    """Rows of pair features and n-grams, these of length one."""
+    """All features as a matrix, for training."""
+    x, row, index, value = features(pairs)
     out = np.zeros((len(pairs), DENSE + HASHED), np.float32)
-    for i, (prompt, content) in enumerate(pairs):
-        x, seen = features(prompt, content)
-        out[i, :DENSE] = x
-        if len(seen):
-            h = np.bincount(seen, minlength=HASHED).astype(np.float32)
-            out[i, DENSE:] = h / np.linalg.norm(h)
+    out[:, :DENSE] = x
+    out[row, DENSE + index] = value
     return out
 
 
+def scores_of(pairs: list[tuple], weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    x, row, index, value = features(pairs)
+    s = x @ weights[:DENSE] + bias
+    for k in range(s.shape[1]):
+        s[:, k] += np.bincount(row, weights[DENSE + index, k] * value, len(pairs))
+    return s
+
+
 def refusal(rng: random.Random, lang: str) -> str:
     opening, said, why, closing = (rng.choice(x) for x in REFUSALS[lang])
     text = f"{opening} {said}".strip()
@@ -186,11 +230,10 @@ def altered(rng: random.Random, prompt: str) -> str:
 def training(sample: list[tuple]) -> list[tuple[str, str, str | None]]:
     """(prompt, content, defect or None) made of sampled pairs (id, prompt, content), the same at every run."""
     rng = random.Random(11)
-    base = []
-    for _, prompt, content in sorted(sample):
-        x, _ = features(prompt, content)
-        if prompt and content and len(content) > 80 and not x[0] and x[8] < 0.3 and not x[12] and x[1] > 0.2:
-            base.append((prompt, content, LANGS[int(languages(WORD.findall(prompt.lower())).argmax())]))
+    sample = sorted(sample)
+    x = features([p[1:] for p in sample])[0] if sample else []
+    lang = by_language(*rows_of([(p[1] or "").lower() for p in sample])[:2], len(sample)).argmax(axis=1) if sample else []
+    base = [(p, c, LANGS[k]) for (_, p, c), y, k in zip(sample, x, lang) if p and c and len(c) > 80 and not y[0] and y[8] < 0.3 and not y[12] and y[1] > 0.2]
     by_lang = {x: [b for b in base if b[2] == x] for x in LANGS}
     made: list[tuple[str, str, str | None]] = []
     for prompt, content, lang in base:
@@ -283,7 +326,7 @@ def defective(pairs: DataFrame, sample: int = SAMPLE) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                s = dense_of(list(zip(part.column("prompt").to_pylist(), part.column("content").to_pylist()))) @ weights + bias
+                s = scores_of(list(zip(part.column("prompt").to_pylist(), part.column("content").to_pylist())), weights, bias)
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(list(s), pa.list_(pa.float32()))], schema=schema)
 
     raw = pairs.mapInArrow(run, "id bigint, s array<float>").join(ended.withColumn("cut", F.lit(1.0)), "id", "left")
