@@ -50,8 +50,26 @@ def linked(met: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFram
     return links.union(verify(rest).select("a", "b"))
 
 
-def buckets(postings: DataFrame) -> DataFrame:
-    """(key, id, first, n): the postings (key, id) of every key that has several, with the least id and the number."""
+#: One row in so many tells which keys are hot; a key is hot from so many sampled rows on.
+SAMPLED, HOT = 97, 20
+#: Hot keys, which are broadcast with their least id and number (24 bytes each): under 1 / HOT of a sample's postings by definition; more are handled as the others.
+MOST_HOT = 100_000
+
+
+def buckets(postings: DataFrame, sample: DataFrame) -> DataFrame:
+    """(key, id, first, n): the postings (key, id) of every key that has several, with the least id and the number.
+
+    Keys are grouped by a window, but for hot ones: those are aggregated where they are, their least ids broadcast and joined, so that no
+    task sees all rows of a hot key. sample holds the keys of one row in SAMPLED; it decides on the way only, not on the result.
+    """
+    spark = postings.sparkSession
+    hot = sample.groupBy("key").count().where(F.col("count") >= HOT).select("key").limit(MOST_HOT).collect()
     own = Window.partitionBy("key")
-    met = postings.withColumn("first", F.min("id").over(own)).withColumn("n", F.count(F.lit(1)).over(own))
-    return met.where("n > 1")
+    if not hot:
+        met = postings.withColumn("first", F.min("id").over(own)).withColumn("n", F.count(F.lit(1)).over(own))
+        return met.where("n > 1")
+    keys = spark.createDataFrame(hot, "key bigint")
+    cold = postings.join(F.broadcast(keys), "key", "left_anti").withColumn("first", F.min("id").over(own)).withColumn("n", F.count(F.lit(1)).over(own))
+    warm = postings.join(F.broadcast(keys), "key", "left_semi")
+    least = warm.groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+    return cold.where("n > 1").unionByName(warm.join(F.broadcast(least), "key").where("n > 1"))

@@ -27,6 +27,8 @@ from .words import words_of
 DEFECTS = ("empty", "truncated", "refusal", "copied", "wrong_language")
 #: Pairs of the sample that training pairs are made of, taken by the hash of their ids.
 SAMPLE = 3000
+#: With fewer pairs, plain ones are added to train on.
+FEW = 200
 HASHED = 1024
 
 # Frequent words that tell the languages apart.
@@ -227,12 +229,24 @@ def altered(rng: random.Random, prompt: str) -> str:
     return prompt
 
 
+def plain_pairs(n: int = 240) -> list[tuple]:
+    """Sound pairs made of frequent and invented words, for tables too small to train on; the same at every run."""
+    rng = random.Random(5)
+    coin = lambda: "".join(rng.choice("bdfgklmnprstv") + rng.choice("aeiou") for _ in range(rng.randrange(2, 4)))
+    out = []
+    for i in range(n):
+        own = STOPWORDS[LANGS[i % len(LANGS)]].split()
+        sentence = lambda k: " ".join(rng.choice(own) if rng.random() < 0.5 else coin() for _ in range(k)).capitalize()  # noqa: B023, E731
+        out.append((-1 - i, sentence(14) + "?", " ".join(sentence(12) + "." for _ in range(rng.randrange(2, 6)))))
+    return out
+
+
 def training(sample: list[tuple]) -> list[tuple[str, str, str | None]]:
     """(prompt, content, defect or None) made of sampled pairs (id, prompt, content), the same at every run."""
     rng = random.Random(11)
     sample = sorted(sample)
-    x = features([p[1:] for p in sample])[0] if sample else []
-    lang = by_language(*rows_of([(p[1] or "").lower() for p in sample])[:2], len(sample)).argmax(axis=1) if sample else []
+    x = features([p[1:] for p in sample])[0]
+    lang = by_language(*rows_of([(p[1] or "").lower() for p in sample])[:2], len(sample)).argmax(axis=1)
     base = [(p, c, LANGS[k]) for (_, p, c), y, k in zip(sample, x, lang) if p and c and len(c) > 80 and not y[0] and y[8] < 0.3 and not y[12] and y[1] > 0.2]
     by_lang = {x: [b for b in base if b[2] == x] for x in LANGS}
     made: list[tuple[str, str, str | None]] = []
@@ -306,9 +320,8 @@ def defective(pairs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     ended = keep(cuts.scored(found, known).union(cuts.early_copies(texts)).distinct())
 
     rows = pairs.orderBy(F.xxhash64("id"), "id").limit(sample).join(F.broadcast(ended.withColumn("cut", F.lit(1))) if ended.limit(cuts.BROADCAST_IDS + 1).count() <= cuts.BROADCAST_IDS else ended.withColumn("cut", F.lit(1)), "id", "left").where("cut is null")
-    made = training([tuple(r) for r in rows.select("id", "prompt", "content").collect()])
-    if not made:
-        made = [("a", "", "empty"), ("Why is it so?", "It is what it is, in the end, and there is no more to it.", None)]
+    taken = [tuple(r) for r in rows.select("id", "prompt", "content").collect()]
+    made = training(taken + plain_pairs() if len(taken) < FEW else taken)
     own = spark.createDataFrame([(i, "assistant", c) for i, (_, c, _) in enumerate(made)], "id bigint, role string, text string")
     cut = {r[0] for r in cuts.scored(keep(cuts.verdicts(own)), known).collect()}
     x = dense_of([m[:2] for m in made])

@@ -48,8 +48,11 @@ def judge(role: str | None, text: str | None) -> tuple[str, str]:
     if dots:
         return ("complete" if TRAILING.search(s) else "cut"), ""
     bare = AFTER.sub("", s)
-    if not bare or bare.endswith("```") or bare.endswith("|") and last.lstrip().startswith("|"):
+    if not bare or bare.endswith("```"):
         return "complete", ""
+    if bare.endswith("|") and last.lstrip().startswith("|"):
+        above = s[: len(s) - len(last)].rstrip("\n").rsplit("\n", 1)[-1].strip()
+        return ("cut" if above.startswith("|") and last.count("|") < above.count("|") else "complete"), ""
     end = bare[-1]
     if end in ".!?。؟:;":
         word = bare.rsplit(None, 1)[-1].lower().lstrip("(\"'“„«")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..session import keep
 from .arrays import U, chunks, mixed
-from .components import buckets, components, linked
+from .components import SAMPLED, buckets, components, linked
 from .words import words_of
 
 #: Up to so many ids (8 bytes each) are broadcast to select rows; beyond, the join shuffles.
@@ -173,7 +173,8 @@ def groups(texts: DataFrame, how: Likeness = Likeness()) -> DataFrame:
     few = copies.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     own = texts.join(F.broadcast(copies.select("id")) if few else copies.select("id"), "id", "left_anti")
 
-    met = keep(buckets(signatures(own, how, keys=True).select("id", F.explode("x").alias("key"))))
+    posted = lambda rows: signatures(rows, how, keys=True).select("id", F.explode("x").alias("key"))
+    met = keep(buckets(posted(own), posted(own.where(F.pmod(F.xxhash64("id"), F.lit(SAMPLED)) == 0))))
     digests = keep(chosen_digests(own, met, how))
     links = linked(met, lambda pairs: verified(pairs, digests, own, how))
     every = links.union(copies.select(F.col("rep").alias("a"), F.col("id").alias("b")))
