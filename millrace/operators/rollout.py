@@ -146,6 +146,6 @@ def generate(prompts: DataFrame, key: str, runner: Callable[[list[list[dict]]],
                 part = f.iloc[at : at + batch]
                 done = runner([opening(p, s) for p, s in zip(part["prompt"], part["system"])])
                 kept = [(k, t) for k, t in zip(part["key"], done) if t is not None]
-                yield pd.DataFrame({"key": [k for k, _ in kept], "trajectory": [t for _, t in kept]})
+                yield pd.DataFrame({"key": pd.Series([k for k, _ in kept], dtype=part["key"].dtype), "trajectory": pd.Series([t for _, t in kept], dtype=object)})
 
     return picked.mapInPandas(run, f"key {kind}, trajectory {MESSAGES}").withColumnRenamed("key", key)

@@ -122,7 +122,7 @@ def stopped(df: DataFrame, order: str, tokens: str, budget: int) -> DataFrame:
 
 
 def segments(df: DataFrame, key: str, turn: str, seen: str, full: str) -> DataFrame:
-    """df with `segment`: a turn whose observation starts with all that was there before it continues the segment."""
+    """df with `segment`, from 1: a turn whose observation starts with all that was there before it continues the segment."""
     w = Window.partitionBy(key).orderBy(turn)
     before = F.lag(full).over(w)
     breaks = F.when(before.isNull() | (F.slice(F.col(seen), 1, F.size(before)) != before), 1).otherwise(0)
