@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from .plans import chat, joins, nested, rollout, sampling, text, training
+from .plans import chat, joins, nested, records, rollout, sampling, text, training
 
-PLANS = (nested, sampling, chat, training, text, joins, rollout)
+PLANS = (nested, sampling, chat, training, text, joins, rollout, records)
 
 
 def queries() -> dict:
