@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from functools import cache
 
 import numpy as np
@@ -10,10 +11,27 @@ import numpy as np
 from .arrays import Prefix, ends_of, points
 
 
+#: Planes from here on hold ideographs only.
+PLANES = 0x20000
+
+
+def table(test: Callable[[str], bool]) -> np.ndarray:
+    """The test of every code point; beyond the first planes, of the two planes of ideographs as a whole."""
+    out = np.zeros(0x110000, bool)
+    out[:PLANES] = np.fromiter(map(test, map(chr, range(PLANES))), bool, PLANES)
+    out[PLANES : 2 * PLANES] = test(chr(PLANES))
+    return out
+
+
 @cache
 def alnum() -> np.ndarray:
     """By code point: whether it is a letter or digit."""
-    return np.array([chr(i).isalnum() for i in range(0x110000)])
+    return table(str.isalnum)
+
+
+@cache
+def digits() -> np.ndarray:
+    return table(str.isdigit)
 
 
 def nfkc_lower(text: str | None) -> str:
