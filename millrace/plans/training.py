@@ -122,8 +122,7 @@ def align(s: SparkSession, d: str) -> DataFrame:
     m = V.messages(s, d).where("role = 'assistant' and text <> ''")
     text = F.regexp_replace("text", "\\s+", " ")
     words = m.select("conv_id", "turn", F.posexplode(F.split(text, "(?<= )")).alias("pos", "piece"))
-    n = F.ceil(F.length(text) / 3).cast("int")
-    thirds = m.where(F.length(text) > 0).select("conv_id", "turn", F.posexplode(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substring(text, i * 3 + 1, F.lit(3)))).alias("pos", "piece"))
+    thirds = m.select("conv_id", "turn", F.posexplode(F.regexp_extract_all(text, F.lit("[\\s\\S]{1,3}"), 0)).alias("pos", "piece"))
     lp = lambda salt: -(V.h7(V.text_of(salt, F.col("conv_id"), ":", F.col("turn"), ":", F.col("pos"))) % 1000) / 100.0
     a = T.aligned(words.where("piece <> ''").withColumn("lp_s", lp("s:")), thirds.withColumn("lp_t", lp("t:")), ["conv_id", "turn"], "lp_s", "lp_t")
     return a.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_groups"), r6(F.sum("delta")).alias("delta"), F.sum("n_left").alias("n_left"), F.sum("n_right").alias("n_right"))
