@@ -39,6 +39,17 @@ def numbered(df: DataFrame, order: list[Column], name: str = "idx", parts: int =
     return local.join(F.broadcast(starts), "_part").withColumn(name, F.col("_n") + F.col("_start")).drop("_part", "_n", "_start")
 
 
+def running_total(df: DataFrame, order: list[Column], value: str, name: str = "running", parts: int = 64) -> DataFrame:
+    """The sum of value up to and with each row in a global order, by the same way: sums within ranges, the ranges' sums joined back."""
+    ranged = df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id())
+    own = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = ranged.withColumn("_n", F.sum(value).over(own))
+    sums = ranged.groupBy("_part").agg(F.sum(value).alias("_c"))
+    before = F.sum("_c").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))  # at most `parts` rows
+    starts = sums.select("_part", F.coalesce(before, F.lit(0)).alias("_start"))
+    return local.join(F.broadcast(starts), "_part").withColumn(name, F.col("_n") + F.col("_start")).drop("_part", "_n", "_start")
+
+
 def ordered_numbers(df: DataFrame, key: str, name: str = "idx") -> DataFrame:
     return numbered(df, [F.col(key)], name)
 

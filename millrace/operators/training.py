@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .sampling import running_total
+
 # --- groups -----------------------------------------------------------------------------------------------------------
 
 
@@ -116,9 +118,8 @@ def kl_penalised(df: DataFrame, sampled: str, base: str, mask: str, coef: float)
 
 
 def stopped(df: DataFrame, order: str, tokens: str, budget: int) -> DataFrame:
-    """Rows in order up to the one that reaches the budget, with the running sum; df is a table of steps, which is small next to its tokens."""
-    w = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn("running", F.sum(tokens).over(w)).where(F.col("running") - F.col(tokens) < budget)
+    """Rows in order up to the one that reaches the budget, with the running sum; no task sees all rows."""
+    return running_total(df, [F.col(order)], tokens).where(F.col("running") - F.col(tokens) < budget)
 
 
 def segments(df: DataFrame, key: str, turn: str, seen: str, full: str) -> DataFrame:
