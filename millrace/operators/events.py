@@ -5,16 +5,18 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .sampling import numbered_within
+
 #: Events that a job's buffer keeps.
 RING = 200
 
 
-def offsets(events: DataFrame, key: str, order: list) -> DataFrame:
+def offsets(events: DataFrame, key: str, order: list[str]) -> DataFrame:
     """events with `offset`, from 0 within each key."""
-    return events.withColumn("offset", F.row_number().over(Window.partitionBy(key).orderBy(*order)) - 1)
+    return numbered_within(events, key, [F.col(c) for c in order], "offset")
 
 
 def ring(events: DataFrame, key: str, offset: str, size: int = RING) -> DataFrame:

@@ -39,6 +39,18 @@ def numbered(df: DataFrame, order: list[Column], name: str = "idx", parts: int =
     return local.join(F.broadcast(starts), "_part").withColumn(name, F.col("_n") + F.col("_start")).drop("_part", "_n", "_start")
 
 
+def numbered_within(df: DataFrame, key: str, order: list[Column], name: str = "idx", parts: int = 64) -> DataFrame:
+    """A dense number from 0 within each key. Rows are partitioned by ranges of key and order, so a hot key spans several tasks; its
+    parts are numbered one by one and their sizes, a row a part, summed."""
+    ranged = df.repartitionByRange(parts, F.col(key), *order).withColumn("_part", F.spark_partition_id())
+    local = ranged.withColumn("_n", F.row_number().over(Window.partitionBy("_part", key).orderBy(*order)) - 1)
+    sizes = ranged.groupBy("_part", F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_c")).withColumnRenamed("_part", "_p")
+    before = F.sum("_c").over(Window.partitionBy("_key").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("_p", "_key", F.coalesce(before, F.lit(0)).alias("_start"))
+    joined = local.join(starts, (F.col("_part") == F.col("_p")) & F.col(key).eqNullSafe(F.col("_key")))
+    return joined.withColumn(name, F.col("_n") + F.col("_start")).drop("_part", "_n", "_start", "_p", "_key")
+
+
 def running_total(df: DataFrame, order: list[Column], value: str, name: str = "running", parts: int = 64) -> DataFrame:
     """The sum of value up to and with each row in a global order, by the same way: sums within ranges, the ranges' sums joined back."""
     ranged = df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id())

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import training as T
+from ..operators.sampling import numbered_within
 from ..session import table
 from ..sources import views as V
 
@@ -42,9 +43,9 @@ def preferences(s: SparkSession, d: str) -> DataFrame:
 
 
 def members(s: SparkSession, d: str) -> DataFrame:
-    """(job_id, idx, rollout_id, n): rollouts of a job in order of their ids; a job is a group of bounded size but for a few."""
+    """(job_id, idx, rollout_id, n): rollouts of a job in order of their ids."""
     r = V.rollouts(s, d).where("job_id is not null").select("job_id", "rollout_id", F.length(F.coalesce("content", F.lit(""))).alias("n"))
-    return r.withColumn("idx", F.row_number().over(Window.partitionBy("job_id").orderBy("rollout_id")) - 1)
+    return numbered_within(r, "job_id", [F.col("rollout_id")])
 
 
 def compared(s: SparkSession, d: str) -> DataFrame:
