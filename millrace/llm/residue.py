@@ -1,16 +1,16 @@
 """Template residue and error-page text.
 
-A message is a set of lines. Rules label some lines as residue or as sound; all lines get a SimHash over their runs of five words (numbers and
-ids masked). Lines whose SimHashes lie within two bits meet in at least one of six tables of two quarters each. From the lines labelled as
-residue the links of their components are grown through these tables; Hamming distance and then the text itself are verified, and the
-components of the remaining links carry the label to all their lines unless one of them is known to be sound. A message is
+A message is a set of lines. Rules label some lines as residue or as sound; all lines are compared as their words in lower case with single
+blanks, numbers alike. Lines with at least 0.8 of their character 5-grams in common are linked; they meet through bands of min-hashes over
+these 5-grams (fourteen bands of five: a pair of 0.8 is missed with a chance of 0.4 %). From the lines labelled as residue the links of their
+components are grown through the bands; each link is verified on the 5-grams themselves before anything is grown from it, and the
+components of the links carry the label to all their lines unless one of them is known to be sound. A message is
 residue if one of its lines is.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -25,20 +25,22 @@ from .arrays import CHUNK, Prefix, U, ends_of, mixed, points
 from .components import components
 from .words import alnum, digits
 
-DISTANCE, QUARTER, SHINGLE = 2, 16, 5
+GRAM, BANDS, ROWS = 5, 14, 5
 #: Least share of common character 5-grams of two near lines.
 ALIKE = 0.8
 #: Up to so many marks (8 bytes each) are handed to tasks; beyond, they are joined.
 BROADCAST_MARKS = 2_000_000
-_LINE = pa.schema([("rec", pa.int64()), ("pos", pa.int32()), ("mark", pa.int64()), ("sim", pa.int64()), ("trust", pa.int8())])
+_LINE = pa.schema([("rec", pa.int64()), ("pos", pa.int32()), ("mark", pa.int64()), ("keys", pa.list_(pa.int32())), ("trust", pa.int8())])
 _TEXT = pa.schema([("mark", pa.int64()), ("text", pa.string())])
 
 
 def lines_of(texts: list[str]) -> tuple[np.ndarray, ...]:
-    """(text, line within it, mark, SimHash, start, end) of every line with words of texts in lower case; positions within the joined texts."""
+    """(text, line within it, mark, start, end) of every line with words of texts in lower case, and the characters that start and end are positions in.
+
+    These are the line's words with single blanks between them, a word with a digit as 0; equal ones have equal marks.
+    """
     x = points([t + "\n" for t in texts])
     stop = np.flatnonzero(x == 10)
-    start = np.concatenate([[0], stop[:-1] + 1])
     text = np.searchsorted(ends_of(texts) + np.arange(len(texts)), stop, "left")
     new = np.append(True, text[1:] != text[:-1])
     number = np.arange(len(stop)) - np.flatnonzero(new)[np.cumsum(new) - 1]
@@ -47,29 +49,40 @@ def lines_of(texts: list[str]) -> tuple[np.ndarray, ...]:
     step = np.diff(inside)
     a, b = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
     numeral = np.concatenate([[0], np.cumsum(digits()[x])])
-    words = Prefix(x).of(a, b)
-    words[numeral[b] > numeral[a]] = U(7)
+    masked = numeral[b] > numeral[a]
     line = np.searchsorted(stop, a, "left")
     has = np.flatnonzero(np.append(True, line[1:] != line[:-1])) if len(line) else line
     own = line[has]
-    count = np.diff(np.append(has, len(line)))
-    place = np.arange(len(words)) - np.repeat(has, count)
-    mark = mixed(np.add.reduceat(mixed(words + mixed(place.astype(U))), has, dtype=U)) if len(has) else words[:0]
-    # runs of five words; a line with fewer is one run
-    at = np.repeat(np.arange(len(has)), count)
-    full = np.flatnonzero(at[SHINGLE - 1 :] == at[: len(at) - SHINGLE + 1]) if len(at) >= SHINGLE else at[:0]
-    runs = np.zeros(len(full), U)
-    for j in range(SHINGLE):
-        runs = mixed(runs * U(0x100000001B3) + words[full + j])
-    few = np.flatnonzero(count < SHINGLE)
-    owner = np.concatenate([at[full], few])
-    order = np.argsort(owner, kind="stable")
-    runs, owner = np.concatenate([runs, mark[few]])[order], owner[order]
-    first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else owner
-    bits = np.unpackbits(runs.view(np.uint8).reshape(-1, 8), axis=1)
-    ones = np.add.reduceat(bits, first, axis=0, dtype=np.int32) if len(first) else np.zeros((0, 64), np.int32)
-    sim = np.packbits(2 * ones > np.diff(np.append(first, len(owner)))[:, None], axis=1).view(U).ravel()
-    return text[own], number[own], mark, sim, start[own], stop[own]
+    size = np.where(masked, 1, b - a)
+    at = np.cumsum(size + 1) - size - 1
+    y = np.full(size.sum() + len(size), 32, np.uint32)
+    within = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    y[within + np.repeat(at, size)] = x[within + np.repeat(a, size)]
+    y[at[masked]] = 48
+    last = np.append(has[1:], len(line))[: len(has)] - 1
+    start, end = at[has], at[last] + size[last]
+    return text[own], number[own], Prefix(y).of(start, end), start, end, y
+
+
+def keys_of(y: np.ndarray, start: np.ndarray, end: np.ndarray, mark: np.ndarray) -> np.ndarray:
+    """The bands of the lines y[start:end], a row each; a line shorter than a 5-gram is its own."""
+    if not len(start):
+        return np.zeros((0, BANDS), np.int32)
+    n = np.maximum(end - start - GRAM + 1, 1)
+    first = np.cumsum(n) - n
+    at = np.arange(n.sum()) - np.repeat(first - start, n)
+    z = np.concatenate([y, np.zeros(GRAM, y.dtype)])
+    h = np.zeros(len(at), U)
+    for j in range(GRAM):
+        h = h * U(0x100000001B3) + z[at + j]
+    h = (mixed(h) >> U(32)).astype(np.uint32)
+    few = end - start < GRAM
+    h[first[few]] = (mark[few] >> U(32)).astype(np.uint32)
+    factors = np.random.default_rng(20250611).integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+    out = np.zeros((len(start), BANDS), U)
+    for k, f in enumerate(factors):
+        out[:, k // ROWS] = mixed(out[:, k // ROWS] + np.minimum.reduceat(h * f, first) + U(k + 1))
+    return (out >> U(32)).astype(np.uint32).view(np.int32)
 
 
 def read(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, list[str], list[list[int] | None]]]:
@@ -107,12 +120,16 @@ def prepared(chats: DataFrame, rec: str, messages: str) -> DataFrame:
 
 
 def marked(chats: DataFrame) -> DataFrame:
-    """(rec, pos, mark, sim, trust) per line; a labelled line without words gets the mark of no other line."""
+    """(rec, pos, mark, keys, trust) per line, the keys with the first line of a mark in a chunk only; a labelled line without words gets the mark of no other line."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rec, pos, texts, labels in read(batch):
-                text, number, mark, sim, _, _ = lines_of(texts)
+                text, number, mark, start, end, y = lines_of(texts)
+                _, first = np.unique(mark, return_index=True)
+                first.sort()
+                count = np.zeros(len(mark), np.int32)
+                count[first] = BANDS
                 trust = np.zeros(len(text), np.int8)
                 known = np.array([v is not None for v in labels], bool)
                 mine = np.flatnonzero(known[text]) if len(text) else text
@@ -121,10 +138,13 @@ def marked(chats: DataFrame) -> DataFrame:
                 got = set(text[trust == 1].tolist())
                 bare = np.array([t for t in best if t not in got], np.int64)  # e.g. nothing but a field
                 alone = mixed(rec[bare].view(U) * U(4099) + pos[bare].astype(U))
-                cols = [np.concatenate(c) for c in ((rec[text], rec[bare]), (pos[text], pos[bare]), (mark.view(np.int64), alone.view(np.int64)), (sim.view(np.int64), alone.view(np.int64)), (trust, np.ones(len(bare), np.int8)))]
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _LINE)], schema=_LINE)
+                offsets = np.concatenate([[0], np.cumsum(count), np.full(len(bare), count.sum())]).astype(np.int32)
+                keys = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys_of(y, start[first], end[first], mark[first]).ravel()))
+                cols = [np.concatenate(c) for c in ((rec[text], rec[bare]), (pos[text], pos[bare]), (mark.view(np.int64), alone.view(np.int64)), (trust, np.ones(len(bare), np.int8)))]
+                cols = [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int8()))]
+                yield pa.RecordBatch.from_arrays([*cols[:3], keys, cols[3]], schema=_LINE)
 
-    return chats.mapInArrow(run, "rec bigint, pos int, mark bigint, sim bigint, trust tinyint")
+    return chats.mapInArrow(run, "rec bigint, pos int, mark bigint, keys array<int>, trust tinyint")
 
 
 def texts_of(chats: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -137,11 +157,10 @@ def texts_of(chats: DataFrame, wanted: DataFrame) -> DataFrame:
         among = shared.value
         for batch in batches:
             for _, _, texts, _ in read(batch):
-                joined = "\n".join(texts)
-                _, _, mark, _, start, stop = lines_of(texts)
+                _, _, mark, start, end, y = lines_of(texts)
                 mark, first = np.unique(mark.view(np.int64), return_index=True)
                 keep_ = np.isin(mark, among) if among is not None else np.ones(len(mark), bool)
-                lines = [joined[a:b] for a, b in zip(start[first][keep_].tolist(), stop[first][keep_].tolist())]
+                lines = [y[a:b].tobytes().decode("utf-32-le", "replace") for a, b in zip(start[first][keep_].tolist(), end[first][keep_].tolist())]
                 yield pa.RecordBatch.from_arrays([pa.array(mark[keep_]), pa.array(lines, pa.string())], schema=_TEXT)
 
     every = chats.mapInArrow(run, "mark bigint, text string")
@@ -154,35 +173,35 @@ def alike(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for f in frames:
         share = []
         for x, y in zip(f["ta"], f["tb"]):
-            p, q = ({t[i : i + 5] for i in range(max(1, len(t) - 4))} for t in (x, y))
+            p, q = ({t[i : i + GRAM] for i in range(max(1, len(t) - GRAM + 1))} for t in (x, y))
             share.append(len(p & q) / len(p | q))
         yield f[np.array(share, float) >= ALIKE][["a", "b"]]
 
 
 def tables(lines: DataFrame) -> DataFrame:
-    """(key, mark, sim): the keys of the six tables of two quarters each."""
-    quarters = [F.shiftrightunsigned("sim", QUARTER * i).bitwiseAND(F.lit(0xFFFF)) for i in range(4)]
-    keys = [F.lit(t).cast("bigint") * (1 << 32) + F.shiftleft(quarters[i], QUARTER) + quarters[j] for t, (i, j) in enumerate(combinations(range(4), 2))]
-    return lines.select(F.explode(F.array(*keys)).alias("key"), "mark", "sim")
+    """(key, mark): the keys of the bands."""
+    return lines.select(F.posexplode("keys").alias("band", "part"), "mark").select((F.col("band").cast("bigint") * (1 << 32) + F.col("part")).alias("key"), "mark")
 
 
-def reached(lines: DataFrame, seeds: DataFrame, rounds: int = 50) -> DataFrame:
-    """(a, b): all links within DISTANCE bits in the components of the seeds (mark, sim), grown from them round by round.
+def reached(distinct: DataFrame, lines: DataFrame, chats: DataFrame, rounds: int = 50) -> DataFrame:
+    """(a, b): the verified links in the components of the lines labelled as residue, grown from them round by round.
 
     Only what was reached last is held against all lines, so lines that are like each other but not like residue are never paired.
     """
-    every, front, visited, found = tables(lines), seeds, seeds.select("mark"), None
+    every, front, found = tables(distinct), tables(distinct.where("best = 1")), None
+    visited = distinct.where("best = 1").select("mark")
     for _ in range(rounds):
-        own = tables(front).select("key", F.col("mark").alias("a"), F.col("sim").alias("sa"))
-        if front.limit(BROADCAST_MARKS // 6 + 1).count() <= BROADCAST_MARKS // 6:
+        own = front.withColumnRenamed("mark", "a")
+        if front.limit(BROADCAST_MARKS + 1).count() <= BROADCAST_MARKS:
             own = F.broadcast(own)
-        near = every.join(own, "key").where((F.bit_count(F.col("sa").bitwiseXOR(F.col("sim"))) <= DISTANCE) & (F.col("a") != F.col("mark")))
-        near = keep(near.select("a", F.col("mark").alias("b"), "sim").distinct())
-        found = near.select("a", "b") if found is None else found.union(near.select("a", "b"))
-        front = keep(near.select(F.col("b").alias("mark"), "sim").distinct().join(visited, "mark", "left_anti"))
-        if not front.limit(1).count():
+        met = keep(every.join(own, "key").where("a <> mark").select("a", F.col("mark").alias("b")).distinct())
+        near = keep(verified(met, lines, chats))
+        found = near if found is None else found.union(near)
+        fresh = keep(near.select(F.col("b").alias("mark")).distinct().join(visited, "mark", "left_anti"))
+        if not fresh.limit(1).count():
             break
-        visited = visited.union(front.select("mark"))
+        visited = visited.union(fresh)
+        front = tables(distinct.join(fresh, "mark", "left_semi"))
     return found
 
 
@@ -203,10 +222,9 @@ def residue(chats: DataFrame, rec: str, messages: str) -> DataFrame:
     """
     chats = prepared(chats, rec, messages)
     lines = keep(marked(chats))
-    distinct = lines.groupBy("mark").agg(F.max("sim").alias("sim"), F.max("trust").alias("best"), F.min("trust").alias("worst"))
+    distinct = lines.groupBy("mark").agg(F.max("keys").alias("keys"), F.max("trust").alias("best"), F.min("trust").alias("worst"))
     distinct = keep(distinct)
-    links = reached(distinct.select("mark", "sim"), distinct.where("best = 1").select("mark", "sim"))
-    comps = components(verified(links, lines, chats))
+    comps = components(reached(distinct, lines, chats))
     labelled = distinct.join(comps.withColumnRenamed("id", "mark"), "mark", "left").withColumn("comp", F.coalesce("comp", "mark"))
     bad = labelled.groupBy("comp").agg(F.max("best").alias("best"), F.min("worst").alias("worst")).where("best = 1 and worst <> -1").select("comp")
     marks = labelled.join(bad, "comp", "left_semi").select("mark")

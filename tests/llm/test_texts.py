@@ -170,6 +170,32 @@ def test_residue_spreads_to_near_lines(spark):
     assert residue.residue(df.limit(0), "id", "m").count() == 0
 
 
+def test_residue_spreads_over_a_replaced_word(spark):
+    page = "The old mill shop is closed for repairs until further notice, so please come back to the harbour office after the winter holidays"
+    said = [page.replace("further", "later"), page.replace("winter", "long winter"), page.replace("please ", ""), page.replace("repairs", "painting")]
+    data = [(0, [("assistant", f"HTTP 503\n\n{page}\n\nBack to the start page")])] + [(1 + i, [("user", "Hi."), ("assistant", t)]) for i, t in enumerate(said)] + [(9, [("assistant", "The old mill shop sells bread until the winter holidays.")])]
+    got = rows(residue.residue(spark.createDataFrame(data, "id bigint, m array<struct<role:string,content:string>>"), "id", "m"))
+    assert got == {(0, 0)} | {(1 + i, 1) for i in range(len(said))}
+
+
+def test_bands_find_what_brute_force_finds():
+    rng = random.Random(31)
+    lines = []
+    for _ in range(120):
+        w = text(rng, rng.choice([6, 12, 25, 60])).split()
+        lines.append(" ".join(w))
+        for _ in range(3):
+            v = list(w)
+            v[rng.randrange(len(v))] = rng.choice(WORDS)
+            lines.append(" ".join(v))
+    _, _, mark, start, end, y = residue.lines_of(lines)
+    keys = residue.keys_of(y, start, end, mark)
+    said = [y[a:b].tobytes().decode("utf-32-le") for a, b in zip(start, end)]
+    grams = [{t[i : i + 5] for i in range(max(1, len(t) - 4))} for t in said]
+    near = [(i, j) for i, j in itertools.combinations(range(len(lines)), 2) if len(grams[i] & grams[j]) >= 0.8 * len(grams[i] | grams[j])]
+    assert len(near) > 100 and sum((keys[i] == keys[j]).any() for i, j in near) >= 0.98 * len(near)
+
+
 # --- 6: packing -------------------------------------------------------------------------------------------------------
 
 
