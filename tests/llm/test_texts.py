@@ -69,6 +69,26 @@ def test_cut_texts_are_found(spark):
     assert cuts.cut_texts(spark.createDataFrame([], "id bigint, role string, text string")).count() == 0
 
 
+def test_lines_cut_inside_a_word_stay_cut_however_often(spark):
+    rng = random.Random(8)
+    sentence = lambda: text(rng, 12).capitalize() + "."
+    data = [(i, f"{sentence()}\nMost of the {rng.choice(WORDS)} is sold {sentence()}\n{sentence()}") for i in range(60)]
+    data += [(100 + i, f"{sentence()}\nMost of th") for i in range(5)]
+    # a line that nothing goes on from ends texts, but not for its copies alone
+    data += [(200 + i, f"{sentence()}\nwith kind regards, yours") for i in range(5)] + [(300 + i, "It is a short note.\nleft on the tab") for i in range(5)]
+    got = {r[0] for r in cuts.cut_texts(spark.createDataFrame([(i, "assistant", t) for i, t in data], "id bigint, role string, text string")).collect()}
+    assert got == {100 + i for i in range(5)} | {300 + i for i in range(5)}
+
+
+def test_begun_lines_match_brute_force():
+    rng = random.Random(6)
+    for _ in range(300):
+        pool = sorted({"".join(rng.choice("ab ") for _ in range(rng.randrange(1, 6))).strip() or "a" for _ in range(12)})
+        x = "".join(rng.choice("ab ") for _ in range(8)).strip()
+        flat = " ".join(x.split())
+        assert cuts.begins(pool, x) == {i for i, y in enumerate(pool) if flat.startswith(y) and re.search(r"\w", flat[len(y) :])}
+
+
 # --- 2: near-equal records --------------------------------------------------------------------------------------------
 
 
