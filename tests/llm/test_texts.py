@@ -89,6 +89,23 @@ def test_begun_lines_match_brute_force():
         assert cuts.begins(pool, x) == {i for i, y in enumerate(pool) if flat.startswith(y) and re.search(r"\w", flat[len(y) :])}
 
 
+def test_cut_copies_are_found_beside_a_longer_variant_and_deep_cuts(spark):
+    rng = random.Random(14)
+    head = " ".join(text(rng, 12).capitalize() + "." for _ in range(3))
+    # a family: the longest has another end, so only the variant itself tells where its copy stops
+    data = [(i, f"{head} {text(rng, 12).capitalize()}.") for i in range(30)] + [(90, f"{head} {text(rng, 40).capitalize()}.")]
+    data += [(100 + i, data[i][1][: len(head) + 40]) for i in range(10)]
+    # cut at a fifth of the copy
+    long = {200 + i: " ".join(text(rng, 12).capitalize() + "." for _ in range(12)) for i in range(10)}
+    data += list(long.items()) + [(300 + i, t[: len(t) // 5]) for i, t in enumerate(long.values())]
+    data = [(i, re.sub(r"\W+$", "", t) if i in range(100, 200) or i >= 300 else t) for i, t in data]
+    data += [(400, "text text text text text text"), (401, "text text text text text text text text text")]  # filler, not cut
+    by_id = dict(data)
+    want = {i for i in by_id if (100 <= i < 200 or 300 <= i < 400) and any(t.startswith(by_id[i]) and cuts.goes_on(by_id[i], t, len(by_id[i])) for j, t in data if j != i)}
+    got = {r[0] for r in cuts.early_copies(spark.createDataFrame(data, "id bigint, text string")).collect()}
+    assert len(want) > 12 and got == want
+
+
 # --- 2: near-equal records --------------------------------------------------------------------------------------------
 
 
