@@ -31,7 +31,7 @@ def hash_answer(x: Column) -> Column:
     """The rest of the last line that starts with ####, without leading colon and without commas; else null."""
     lines = F.filter(F.transform(F.split(x, "\n"), strip), lambda y: y.startswith("####"))
     last = F.try_element_at(lines, F.lit(-1))
-    return strip(F.replace(F.regexp_replace(strip(F.substring(last, 5, 1_000_000)), "^:", ""), F.lit(","), F.lit("")))
+    return strip(F.replace(F.regexp_replace(strip(F.substring(last, F.lit(5), F.length(last))), "^:", ""), F.lit(","), F.lit("")))
 
 
 def tool_name(x: Column) -> Column:

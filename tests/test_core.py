@@ -310,3 +310,10 @@ def test_entry_lists_everything():
 
     assert set(entry.oracle_sql()) <= set(entry.queries()) and "p5_found" in entry.queries()
     assert os.path.exists("/root/testdata") is False or len(entry.queries()) > 90
+
+
+def test_hash_answer_has_no_longest_line(spark):
+    from millrace.functions.text import hash_answer
+
+    df = spark.createDataFrame([("x\n#### " + "7" * 1_200_000,), ("#### 1,234",), ("####",), ("none",)], "t string")
+    assert [r[0] for r in df.select(hash_answer(df.t)).collect()] == ["7" * 1_200_000, "1234", "", None]
