@@ -1,16 +1,20 @@
 """Template residue and error-page text.
 
-A message is a set of lines. Rules label some lines as residue or as sound; all lines are compared as their words in lower case with single
-blanks, numbers alike. Lines with at least 0.8 of their character 5-grams in common are linked; they meet through bands of min-hashes over
-these 5-grams (fourteen bands of five: a pair of 0.8 is missed with a chance of 0.4 %). From the lines labelled as residue the links of their
-components are grown through the bands; each link is verified on the 5-grams themselves before anything is grown from it, and the
-components of the links carry the label to all their lines unless one of them is known to be sound. A message is
-residue if one of its lines is.
+A message is a set of lines, a line one of sentences. Rules label some lines as residue or as sound; sentences are compared as their words in
+lower case with single blanks, numbers alike. Near sentences are found by SimHash over character 5-grams: 64 bits in twelve blocks
+of five, a table for each two of them; what agrees in one of the 66 tables, differs in at most 16 bits and has 0.8 of its 5-grams in
+common is linked. From the sentences labelled as residue of pages or filler, be it by their words or by the form of a page that they stand in, the
+links of their components are grown round by round, each verified on the text before anything is grown from it, and the components carry
+the label to all their sentences unless one is known to be sound. A message is residue if one of its lines is labelled, or consists of
+sentences that are residue. Nothing is grown from lines with fields: what stands around a field is no residue.
+
+Chance to miss a link: of 0.8 at most 2 %, of 0.85 under 0.5 %; measured against brute force in the tests.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -21,72 +25,126 @@ from pyspark.sql import functions as F
 
 from ..session import keep
 from . import residue_rules as rules
-from .arrays import CHUNK, Prefix, U, ends_of, mixed, points
+from .arrays import Prefix, U, ends_of, mixed, points
 from .components import components
 from .words import alnum, digits
 
-GRAM, BANDS, ROWS = 5, 14, 5
-#: Least share of common character 5-grams of two near lines.
+GRAM, BLOCKS, BITS, DISTANCE = 5, 12, 5, 16
+#: Code points worked on at once, so few that a processor's cache holds their hashes; a longer text is worked on alone.
+CHUNK = 1 << 15
+#: Least share of common character 5-grams of two near sentences.
 ALIKE = 0.8
 #: Up to so many marks (8 bytes each) are handed to tasks; beyond, they are joined.
 BROADCAST_MARKS = 2_000_000
-_LINE = pa.schema([("rec", pa.int64()), ("pos", pa.int32()), ("mark", pa.int64()), ("keys", pa.list_(pa.int32())), ("trust", pa.int8())])
+#: Sentences that others are held against in one pass (16 bytes and the places in 66 tables each); more take several.
+FRONT = 50_000
+_LINE = pa.schema(
+    [("rec", pa.int64()), ("pos", pa.int32()), ("line", pa.int32()), ("seg", pa.int32()), ("segs", pa.int32()), ("mark", pa.int64()), ("sim", pa.int64()), ("trust", pa.int8())]
+)
+_LINE_DDL = "rec bigint, pos int, line int, seg int, segs int, mark bigint, sim bigint, trust tinyint"
 _TEXT = pa.schema([("mark", pa.int64()), ("text", pa.string())])
 
 
-def lines_of(texts: list[str]) -> tuple[np.ndarray, ...]:
-    """(text, line within it, mark, start, end) of every line with words of texts in lower case, and the characters that start and end are positions in.
+def sentences_of(texts: list[str]) -> tuple[np.ndarray, ...]:
+    """(text, line within it, sentence within that, sentences of the line, mark, start, end) of every sentence with words of texts in lower
+    case, and the characters that start and end are positions in.
 
-    These are the line's words with single blanks between them, a word with a digit as 0; equal ones have equal marks.
+    These are its words with single blanks between them, a word with a digit as 0; equal ones have equal marks.
     """
     x = points([t + "\n" for t in texts])
-    stop = np.flatnonzero(x == 10)
-    text = np.searchsorted(ends_of(texts) + np.arange(len(texts)), stop, "left")
-    new = np.append(True, text[1:] != text[:-1])
-    number = np.arange(len(stop)) - np.flatnonzero(new)[np.cumsum(new) - 1]
+    line_end = x == 10
+    blank = np.append((x[1:] == 32) | (x[1:] == 9) | (x[1:] == 0xA0), False)
+    stop = np.flatnonzero(line_end | (((x == 46) | (x == 33) | (x == 63) | (x == 0x2026)) & blank))
     inside = np.zeros(len(x) + 1, np.int8)
     inside[1:] = alnum()[x]
     step = np.diff(inside)
     a, b = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
     numeral = np.concatenate([[0], np.cumsum(digits()[x])])
     masked = numeral[b] > numeral[a]
-    line = np.searchsorted(stop, a, "left")
-    has = np.flatnonzero(np.append(True, line[1:] != line[:-1])) if len(line) else line
-    own = line[has]
+    sentence = np.searchsorted(stop, a, "left")
+    has = np.flatnonzero(np.append(True, sentence[1:] != sentence[:-1])) if len(a) else a
+    line_stops = np.flatnonzero(line_end)
+    line = np.searchsorted(line_stops, a[has], "left")
+    text = np.searchsorted(ends_of(texts) + np.arange(len(texts)), a[has], "left")
+    before = np.searchsorted(line_stops, ends_of(texts) + np.arange(len(texts)) - np.array([len(t) for t in texts], np.int64), "left") if len(texts) else line
     size = np.where(masked, 1, b - a)
     at = np.cumsum(size + 1) - size - 1
     y = np.full(size.sum() + len(size), 32, np.uint32)
     within = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
     y[within + np.repeat(at, size)] = x[within + np.repeat(a, size)]
     y[at[masked]] = 48
-    last = np.append(has[1:], len(line))[: len(has)] - 1
+    last = np.append(has[1:], len(a))[: len(has)] - 1
     start, end = at[has], at[last] + size[last]
-    return text[own], number[own], Prefix(y).of(start, end), start, end, y
+    new = np.append(True, line[1:] != line[:-1])[: len(line)]
+    heads = np.flatnonzero(new)
+    count = np.diff(np.append(heads, len(line)))
+    return text, line - before[text], np.arange(len(line)) - np.repeat(heads, count), np.repeat(count, count), Prefix(y).of(start, end), start, end, y
 
 
-def keys_of(y: np.ndarray, start: np.ndarray, end: np.ndarray, mark: np.ndarray) -> np.ndarray:
-    """The bands of the lines y[start:end], a row each; a line shorter than a 5-gram is its own."""
+def sims_of(y: np.ndarray, start: np.ndarray, end: np.ndarray, mark: np.ndarray) -> np.ndarray:
+    """SimHashes of the sentences y[start:end]; one shorter than a 5-gram has its mark."""
     if not len(start):
-        return np.zeros((0, BANDS), np.int32)
+        return np.zeros(0, U)
+    order = np.argsort(start)
+    start, end, mark = start[order], end[order], mark[order]
     n = np.maximum(end - start - GRAM + 1, 1)
-    first = np.cumsum(n) - n
-    at = np.arange(n.sum()) - np.repeat(first - start, n)
-    z = np.concatenate([y, np.zeros(GRAM, y.dtype)])
-    h = np.zeros(len(at), U)
-    for j in range(GRAM):
-        h = h * U(0x100000001B3) + z[at + j]
-    h = (mixed(h) >> U(32)).astype(np.uint32)
+    z = np.concatenate([y, np.zeros(GRAM + 1, y.dtype)]).astype(U)
+    h = z[: len(y) + 1].copy()
+    for j in range(1, GRAM):
+        h *= U(0x100000001B3)
+        h += z[j : j + len(h)]
+    h = mixed(h)
     few = end - start < GRAM
-    h[first[few]] = (mark[few] >> U(32)).astype(np.uint32)
-    factors = np.random.default_rng(20250611).integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-    out = np.zeros((len(start), BANDS), U)
-    for k, f in enumerate(factors):
-        out[:, k // ROWS] = mixed(out[:, k // ROWS] + np.minimum.reduceat(h * f, first) + U(k + 1))
-    return (out >> U(32)).astype(np.uint32).view(np.int32)
-
-
-def read(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, list[str], list[list[int] | None]]]:
-    """(record, position, text in lower case, labels of its lines or None) of the messages of a batch, a chunk at a time."""
+    h[start[few]] = mark[few]
+    # bits are counted in bytes, eight at a time, over runs of 255 grams at most
+    runs = -(-n // 255)
+    run = np.cumsum(runs) - runs
+    within = 255 * (np.arange(runs.sum()) - np.repeat(run, runs))
+    begin = np.repeat(start, runs) + within
+    bounds = np.stack([begin, begin + np.minimum(np.repeat(n, runs) - within, 255)], axis=1).ravel()
+    ones = np.zeros((len(begin), 64), np.int32)
+    for k in range(8):
+        ones[:, k::8] = np.add.reduceat((h >> U(k)) & U(0x0101010101010101), bounds)[::2].copy().view(np.uint8).reshape(-1, 8)
+    if len(run) < len(begin):
+        ones = np.add.reduceat(ones, run, axis=0)
+    more = 2 * ones + (np.arange(64) % 2) > n[:, None]
+    out = np.empty(len(start), U)
+    out[order] = np.packbits(more, axis=1, bitorder="little").view(U).ravel()
+    return out
+
+
+def places_of(sims: np.ndarray, i: int, j: int) -> np.ndarray:
+    """The places in the table of the blocks i and j."""
+    block = U((1 << BITS) - 1)
+    return ((((sims >> U(BITS * i)) & block) << U(BITS)) | ((sims >> U(BITS * j)) & block)).astype(np.int64)
+
+
+class Tables:
+    """Sentences by every two of their blocks."""
+
+    def __init__(self, sims: np.ndarray) -> None:
+        self.sims = sims
+        self.tables = []
+        for i, j in combinations(range(BLOCKS), 2):
+            place = places_of(sims, i, j)
+            order = np.argsort(place, kind="stable")
+            self.tables.append((i, j, order, np.searchsorted(place[order], np.arange((1 << 2 * BITS) + 1))))
+
+    def near(self, sims: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(index in sims, own index) of those that share a table's place and differ in few bits."""
+        met = []
+        for i, j, order, starts in self.tables:
+            place = places_of(sims, i, j)
+            count = starts[place + 1] - starts[place]
+            row = np.repeat(np.arange(len(sims)), count)
+            own = order[np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(starts[place], count)]
+            close = np.bitwise_count(sims[row] ^ self.sims[own]) <= DISTANCE
+            met.append(row[close] * len(self.sims) + own[close])
+        return np.divmod(np.unique(np.concatenate(met)), len(self.sims))
+
+
+def read(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, list[str], list[list[tuple[int, bool]] | None]]]:
+    """(record, position, text in lower case, for each of its lines the label and whether it is only learned from, or None) of the messages of a batch, a chunk at a time."""
     lists = batch.column("messages")
     offsets = lists.offsets.to_numpy()
     sizes = np.diff(offsets)
@@ -95,15 +153,16 @@ def read(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, list[s
     rec = np.repeat(np.arange(len(sizes)), sizes)
     pos = np.arange(len(every)) - np.repeat(offsets[:-1] - offsets[0], sizes)
     lower = pc.fill_null(pc.utf8_lower(content), "")
-    called = pc.match_substring_regex(lower, rules.TRIGGER).to_numpy(zero_copy_only=False)
+    cued = pc.match_substring_regex(lower, f"(?m){rules.CUE.pattern}").to_numpy(zero_copy_only=False)
+    called = cued | pc.match_substring_regex(lower, rules.OPEN.pattern).to_numpy(zero_copy_only=False)
     lower, ids = lower.to_pylist(), batch.column("rec").to_numpy()
     roles = role.to_numpy(zero_copy_only=False)
-    labels: list[list[int] | None] = [None] * len(lower)
+    labels: list[list[tuple[int, bool]] | None] = [None] * len(lower)
     for i in np.flatnonzero(called).tolist():
         before = next((content[j].as_py() for j in range(i - 1, i - 1 - int(pos[i]), -1) if roles[j] == "user"), None)
-        found = rules.labels(roles[i], content[i].as_py(), before)
+        found = rules.labels(roles[i], content[i].as_py(), before, bool(cued[i]))
         lower[i] = "\n".join(rules.normal(x).replace("\n", " ") for x, _ in found)
-        labels[i] = [v for _, v in found]
+        labels[i] = [(v, x[:1] == "\t") for x, v in found]
     at = size = 0
     for i, t in enumerate(lower):
         if size and size + len(t) > CHUNK:
@@ -120,52 +179,49 @@ def prepared(chats: DataFrame, rec: str, messages: str) -> DataFrame:
 
 
 def marked(chats: DataFrame) -> DataFrame:
-    """(rec, pos, mark, keys, trust) per line, the keys with the first line of a mark in a chunk only; a labelled line without words gets the mark of no other line."""
+    """A row of _LINE per sentence; those that a line's label teaches stand in no line (-1), and a labelled message without words has a mark of its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rec, pos, texts, labels in read(batch):
-                text, number, mark, start, end, y = lines_of(texts)
-                _, first = np.unique(mark, return_index=True)
-                first.sort()
-                count = np.zeros(len(mark), np.int32)
-                count[first] = BANDS
+                text, line, seg, segs, mark, start, end, y = sentences_of(texts)
+                _, first, same = np.unique(mark, return_index=True, return_inverse=True)
+                sim = sims_of(y, start[first], end[first], mark[first])[same]
                 trust = np.zeros(len(text), np.int8)
                 known = np.array([v is not None for v in labels], bool)
                 mine = np.flatnonzero(known[text]) if len(text) else text
-                trust[mine] = [labels[t][n] for t, n in zip(text[mine].tolist(), number[mine].tolist())]
-                best = {t: max(v) for t, v in enumerate(labels) if v and 1 in v}
-                got = set(text[trust == 1].tolist())
-                bare = np.array([t for t in best if t not in got], np.int64)  # e.g. nothing but a field
-                alone = mixed(rec[bare].view(U) * U(4099) + pos[bare].astype(U))
-                offsets = np.concatenate([[0], np.cumsum(count), np.full(len(bare), count.sum())]).astype(np.int32)
-                keys = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys_of(y, start[first], end[first], mark[first]).ravel()))
-                cols = [np.concatenate(c) for c in ((rec[text], rec[bare]), (pos[text], pos[bare]), (mark.view(np.int64), alone.view(np.int64)), (trust, np.ones(len(bare), np.int8)))]
-                cols = [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int8()))]
-                yield pa.RecordBatch.from_arrays([*cols[:3], keys, cols[3]], schema=_LINE)
-
-    return chats.mapInArrow(run, "rec bigint, pos int, mark bigint, keys array<int>, trust tinyint")
-
-
-def texts_of(chats: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(mark, text) of the lines whose mark is among wanted (id), once each."""
+                given = [labels[t][n] for t, n in zip(text[mine].tolist(), line[mine].tolist())]
+                trust[mine] = [v for v, _ in given]
+                line = line.astype(np.int32)
+                line[mine[np.array([taught for _, taught in given], bool)]] = -1
+                got = set(text[trust > 0].tolist())
+                bare = np.array([t for t, v in enumerate(labels) if v and t not in got and any(x > 0 for x, _ in v)], np.int64)  # e.g. nothing but a field
+                alone, zero = mixed(rec[bare].view(U) * U(4099) + pos[bare].astype(U)), np.zeros(len(bare), np.int64)
+                cols = ((rec[text], rec[bare]), (pos[text], pos[bare]), (line, zero - 1), (seg, zero), (segs, zero), (mark.view(np.int64), alone.view(np.int64)), (sim.view(np.int64), zero), (trust, zero + rules.FOUND))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), f.type) for c, f in zip(cols, _LINE)], schema=_LINE)
+
+    return chats.mapInArrow(run, _LINE_DDL)
+
+
+def texts_of(chats: DataFrame, wanted: DataFrame, few: bool) -> DataFrame:
+    """(mark, text) of the sentences whose mark is among wanted (mark, rec), once each; only those records are read again."""
     spark = chats.sparkSession
-    few = wanted.limit(BROADCAST_MARKS + 1).count() <= BROADCAST_MARKS
-    shared = spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in wanted.toLocalIterator()], np.int64)) if few else None)
+    shared = spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in wanted.select("mark").toLocalIterator()], np.int64)) if few else None)
+    holders = wanted.select("rec").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         among = shared.value
         for batch in batches:
             for _, _, texts, _ in read(batch):
-                _, _, mark, start, end, y = lines_of(texts)
+                *_, mark, start, end, y = sentences_of(texts)
                 mark, first = np.unique(mark.view(np.int64), return_index=True)
                 keep_ = np.isin(mark, among) if among is not None else np.ones(len(mark), bool)
-                lines = [y[a:b].tobytes().decode("utf-32-le", "replace") for a, b in zip(start[first][keep_].tolist(), end[first][keep_].tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array(mark[keep_]), pa.array(lines, pa.string())], schema=_TEXT)
+                said = [y[a:b].tobytes().decode("utf-32-le", "replace") for a, b in zip(start[first][keep_].tolist(), end[first][keep_].tolist())]
+                yield pa.RecordBatch.from_arrays([pa.array(mark[keep_]), pa.array(said, pa.string())], schema=_TEXT)
 
-    every = chats.mapInArrow(run, "mark bigint, text string")
+    every = chats.join(F.broadcast(holders) if few else holders, "rec", "left_semi").mapInArrow(run, "mark bigint, text string")
     if not few:
-        every = every.join(wanted.select(F.col("id").alias("mark")), "mark", "left_semi")
+        every = every.join(wanted.select("mark"), "mark", "left_semi")
     return every.groupBy("mark").agg(F.min("text").alias("text"))
 
 
@@ -178,41 +234,73 @@ def alike(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield f[np.array(share, float) >= ALIKE][["a", "b"]]
 
 
-def tables(lines: DataFrame) -> DataFrame:
-    """(key, mark): the keys of the bands."""
-    return lines.select(F.posexplode("keys").alias("band", "part"), "mark").select((F.col("band").cast("bigint") * (1 << 32) + F.col("part")).alias("key"), "mark")
-
-
-def reached(distinct: DataFrame, lines: DataFrame, chats: DataFrame, rounds: int = 50) -> DataFrame:
-    """(a, b): the verified links in the components of the lines labelled as residue, grown from them round by round.
-
-    Only what was reached last is held against all lines, so lines that are like each other but not like residue are never paired.
+def met(lines: DataFrame, front: DataFrame, n: int) -> DataFrame:
+    """(a, b): the sentences b of lines that the SimHash tables of front (mark, sim), which has n rows, bring together with a sentence a of it."""
+    spark, schema = lines.sparkSession, pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    passes, out = max(1, -(-n // FRONT)), None
+    for i in range(passes):
+        own = [tuple(r) for r in front.where(F.pmod("mark", F.lit(passes)) == i).select("mark", "sim").toLocalIterator()]
+        if not own:
+            continue
+        shared = spark.sparkContext.broadcast((np.array([m for m, _ in own], np.int64), np.array([s for _, s in own], np.int64).view(U)))
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            marks, sims = shared.value
+            tables = Tables(sims)
+            for batch in batches:
+                mark, first = np.unique(batch.column("mark").to_numpy(), return_index=True)
+                sim = batch.column("sim").to_numpy()[first].view(U)
+                for at in range(0, len(mark), 2000):
+                    row, f = tables.near(sim[at : at + 2000])
+                    a, b = marks[f], mark[at : at + 2000][row]
+                    new = ~np.isin(b, marks)
+                    yield pa.RecordBatch.from_arrays([pa.array(a[new]), pa.array(b[new])], schema=schema)
+
+        now = lines.select("mark", "sim").mapInArrow(run, "a bigint, b bigint")
+        out = now if out is None else out.union(now)
+    return spark.createDataFrame([], "a bigint, b bigint") if out is None else out.distinct()
+
+
+def reached(lines: DataFrame, chats: DataFrame, front: DataFrame) -> DataFrame | None:
+    """(a, b): the verified links in the components of the sentences front (mark, sim, rec), grown from them until nothing new is reached.
+
+    Only what was reached last is held against all sentences, so sentences that are like each other but not like residue are never paired.
     """
-    every, front, found = tables(distinct), tables(distinct.where("best = 1")), None
-    visited = distinct.where("best = 1").select("mark")
-    for _ in range(rounds):
-        own = front.withColumnRenamed("mark", "a")
-        if front.limit(BROADCAST_MARKS + 1).count() <= BROADCAST_MARKS:
-            own = F.broadcast(own)
-        met = keep(every.join(own, "key").where("a <> mark").select("a", F.col("mark").alias("b")).distinct())
-        near = keep(verified(met, lines, chats))
-        found = near if found is None else found.union(near)
-        fresh = keep(near.select(F.col("b").alias("mark")).distinct().join(visited, "mark", "left_anti"))
-        if not fresh.limit(1).count():
+    visited, found = front.select("mark"), None
+    while n := front.count():
+        pairs = keep(met(lines, front, n).join(visited.withColumnRenamed("mark", "b"), "b", "left_anti").select("a", "b"))
+        size = pairs.count()
+        if not size:
             break
-        visited = visited.union(fresh)
-        front = tables(distinct.join(fresh, "mark", "left_semi"))
+        few = 2 * size <= BROADCAST_MARKS
+        own = pairs.select(F.col("b").alias("mark")).distinct()
+        others = keep(lines.join(F.broadcast(own) if few else own, "mark", "left_semi").groupBy("mark").agg(F.min("sim").alias("sim"), F.min("rec").alias("rec")))
+        mine = front.join(pairs.select(F.col("a").alias("mark")).distinct(), "mark", "left_semi")
+        texts = keep(texts_of(chats, mine.union(others).select("mark", "rec"), few))
+        ta, tb = (texts.select(F.col("mark").alias(x), F.col("text").alias(f"t{x}")) for x in "ab")
+        near = keep(pairs.join(ta, "a").join(tb, "b").mapInPandas(alike, "a bigint, b bigint"))
+        found = near if found is None else found.union(near)
+        front = keep(others.join(near.select(F.col("b").alias("mark")).distinct(), "mark", "left_semi"))
+        visited = visited.union(front.select("mark"))
     return found
 
 
-def verified(links: DataFrame, lines: DataFrame, chats: DataFrame) -> DataFrame:
-    """(a, b): the links whose texts are alike; only records that hold one of the lines are read again."""
-    wanted = keep(links.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-    holders = keep(lines.join(wanted.withColumnRenamed("id", "mark"), "mark", "left_semi").groupBy("mark").agg(F.min("rec").alias("rec")).select("rec").distinct())
-    few = holders.limit(BROADCAST_MARKS + 1).count() <= BROADCAST_MARKS
-    texts = keep(texts_of(chats.join(F.broadcast(holders) if few else holders, "rec", "left_semi"), wanted))
-    ta, tb = (texts.select(F.col("mark").alias(x), F.col("text").alias(f"t{x}")) for x in "ab")
-    return links.join(ta, "a").join(tb, "b").mapInPandas(alike, "a bigint, b bigint")
+def judged(chats: DataFrame, rec: str, messages: str) -> DataFrame:
+    """(rec, pos, ruled): every message that holds residue, once, and whether a rule labels one of its lines."""
+    chats = prepared(chats, rec, messages)
+    lines = keep(marked(chats))
+    seeds = keep(lines.where(F.col("trust") == rules.SEED).groupBy("mark").agg(F.min("sim").alias("sim"), F.min("rec").alias("rec")))
+    links = reached(lines, chats, seeds)
+    bad = seeds.select("mark")
+    if links is not None:
+        every = components(links).withColumnRenamed("id", "mark").join(seeds.select("mark", F.lit(1).alias("seed")), "mark", "left")
+        sound = lines.where(F.col("trust") == rules.SOUND).select("mark")
+        spoilt = every.where("seed is null").join(sound, "mark", "left_semi").select("comp").distinct()
+        bad = keep(bad.union(every.where("seed is null").select("mark")).join(every.join(spoilt, "comp", "left_semi").select("mark"), "mark", "left_anti").distinct())
+    few = bad.count() <= BROADCAST_MARKS
+    known = lines.where("trust > 0").select("rec", "pos", F.lit(True).alias("ruled"))
+    whole = lines.where("trust = 0").join(F.broadcast(bad) if few else bad, "mark", "left_semi").groupBy("rec", "pos", "line", "segs").agg(F.countDistinct("seg").alias("n")).where("n = segs")
+    return known.union(whole.select("rec", "pos", F.lit(False))).groupBy("rec", "pos").agg(F.max("ruled").alias("ruled"))
 
 
 def residue(chats: DataFrame, rec: str, messages: str) -> DataFrame:
@@ -220,14 +308,4 @@ def residue(chats: DataFrame, rec: str, messages: str) -> DataFrame:
 
     Null arrays, messages and contents hold none, nor do blank ones; JSON of tools, code and formulas are not looked at; rows without an id are left out.
     """
-    chats = prepared(chats, rec, messages)
-    lines = keep(marked(chats))
-    distinct = lines.groupBy("mark").agg(F.max("keys").alias("keys"), F.max("trust").alias("best"), F.min("trust").alias("worst"))
-    distinct = keep(distinct)
-    comps = components(reached(distinct, lines, chats))
-    labelled = distinct.join(comps.withColumnRenamed("id", "mark"), "mark", "left").withColumn("comp", F.coalesce("comp", "mark"))
-    bad = labelled.groupBy("comp").agg(F.max("best").alias("best"), F.min("worst").alias("worst")).where("best = 1 and worst <> -1").select("comp")
-    marks = labelled.join(bad, "comp", "left_semi").select("mark")
-    known = lines.where("trust = 1").select("rec", "pos")
-    spread = lines.where("trust = 0").join(marks, "mark", "left_semi").select("rec", "pos")
-    return known.union(spread).distinct()
+    return judged(chats, rec, messages).select("rec", "pos")

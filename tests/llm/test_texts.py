@@ -192,45 +192,73 @@ def test_defects_of_odd_rows(spark):
     ],
 )
 def test_trusted_labels(role, text, before, found):
-    assert any(v == 1 for _, v in labels(role, text, before)) is found
+    assert any(v > 0 for _, v in labels(role, text, before)) == found
+
+
+MESSAGES = "array<struct<role:string,content:string>>"
 
 
 def test_residue_spreads_to_near_lines(spark):
-    message = "struct<role:string,content:string>"
-    page = "HTTP 503\n\nThe shop is closed for repairs until further notice today, friends\n\nBack to the start page"
+    page = "Forbidden. The shop is closed for repairs until further notice today, friends. Reference: 2a8ede88"
     data = [
         (1, [("user", "Hi."), ("assistant", page)]), (2, [("assistant", "The shop is closed for repairs until further notice today, friends!")]), (3, [("assistant", "The shop sells bread.")]),
-        (4, None), (5, []), (6, [None, ("user", None), ("user", " ")]), (None, [("user", "{{ a_b }}")]), (7, [("user", "{{ a_b }}"), ("user", "{{ a_b }}")]), (8, [("assistant", "word " * 50_000)]),
+        (4, None), (5, []), (6, [None, ("user", None), ("user", " ")]), (None, [("user", "{{ a_b }}")]), (7, [("user", "{{ a_b }}"), ("user", "{{ a_b }}")]), (8, [("assistant", "pebble " * 50_000)]),
+        # in a line with other things it is told, not shown
+        (9, [("assistant", "The sign said this. The shop is closed for repairs until further notice today, friends!")]), (10, [("assistant", "#### 503")]), (11, [("assistant", "#### 404"), ("user", "77")]),
     ]
-    df = spark.createDataFrame(data, f"id bigint, m array<{message}>").withColumn("mark", residue.F.lit(0))
+    df = spark.createDataFrame(data, f"id bigint, m {MESSAGES}").withColumn("mark", residue.F.lit(0))
     assert rows(residue.residue(df, "id", "m")) == {(1, 1), (2, 0), (7, 0), (7, 1)}
+    assert rows(residue.judged(df, "id", "m").where("not ruled").select("rec", "pos")) == {(2, 0)}
     assert residue.residue(df.limit(0), "id", "m").count() == 0
 
 
-def test_residue_spreads_over_a_replaced_word(spark):
+def test_residue_spreads_over_a_replaced_word_and_along_chains(spark):
     page = "The old mill shop is closed for repairs until further notice, so please come back to the harbour office after the winter holidays"
-    said = [page.replace("further", "later"), page.replace("winter", "long winter"), page.replace("please ", ""), page.replace("repairs", "painting")]
-    data = [(0, [("assistant", f"HTTP 503\n\n{page}\n\nBack to the start page")])] + [(1 + i, [("user", "Hi."), ("assistant", t)]) for i, t in enumerate(said)] + [(9, [("assistant", "The old mill shop sells bread until the winter holidays.")])]
-    got = rows(residue.residue(spark.createDataFrame(data, "id bigint, m array<struct<role:string,content:string>>"), "id", "m"))
+    said = [page.replace("further", "later"), page.replace("winter", "long winter"), page.replace("please ", ""), page.replace("repairs", "painting"), page.replace("repairs", "painting").replace("harbour", "station")]
+    data = [(0, [("assistant", f"Oops! {page}. (code 503)")])] + [(1 + i, [("user", "Hi."), ("assistant", t)]) for i, t in enumerate(said)] + [(9, [("assistant", "The old mill shop sells bread until the winter holidays.")])]
+    got = rows(residue.residue(spark.createDataFrame(data, f"id bigint, m {MESSAGES}"), "id", "m"))
     assert got == {(0, 0)} | {(1 + i, 1) for i in range(len(said))}
+    # one of them quoted as a line with a field that the message talks about: the component is left alone
+    sound = (20, [("assistant", f"{said[3]}. The variable {{{{ shop }}}} prints this.")])
+    got = rows(residue.residue(spark.createDataFrame(data + [sound], f"id bigint, m {MESSAGES}"), "id", "m"))
+    assert got == {(0, 0)}
+
+
+def test_clean_twins_of_lines_with_fields_stay_clean(spark):
+    rng = random.Random(8)
+    lines = [f"Which of the {rng.randrange(99)} {text(rng, 9)} should come first, and why?" for _ in range(1000)]
+    data = [(i, [("user", x)]) for i, x in enumerate(lines)] + [(5000 + i, [("user", " ".join(w[:3] + ["{{ a_field }}"] + w[3:]))]) for i, x in enumerate(lines) for w in (x.split(" "),)]
+    assert rows(residue.residue(spark.createDataFrame(data, f"id bigint, m {MESSAGES}"), "id", "m")) == {(5000 + i, 0) for i in range(len(lines))}
 
 
-def test_bands_find_what_brute_force_finds():
-    rng = random.Random(31)
-    lines = []
-    for _ in range(120):
-        w = text(rng, rng.choice([6, 12, 25, 60])).split()
+def test_tables_find_what_brute_force_finds():
+    rng = random.Random(3)
+    base = [text(rng, rng.randrange(8, 30)) for _ in range(120)]
+    lines = list(base)
+    for x in base * 3:
+        w = x.split()
+        i = rng.randrange(len(w))
+        kind = rng.randrange(3)
+        w[i : i + (kind != 1)] = [] if kind == 0 else ["indigo"]
         lines.append(" ".join(w))
-        for _ in range(3):
-            v = list(w)
-            v[rng.randrange(len(v))] = rng.choice(WORDS)
-            lines.append(" ".join(v))
-    _, _, mark, start, end, y = residue.lines_of(lines)
-    keys = residue.keys_of(y, start, end, mark)
+    *_, mark, start, end, y = residue.sentences_of([re.sub(r"\d+", "", x) for x in lines])
+    sims = residue.sims_of(y, start, end, mark)
+    row, own = residue.Tables(sims).near(sims)
+    met = set(zip(row.tolist(), own.tolist()))
     said = [y[a:b].tobytes().decode("utf-32-le") for a, b in zip(start, end)]
     grams = [{t[i : i + 5] for i in range(max(1, len(t) - 4))} for t in said]
     near = [(i, j) for i, j in itertools.combinations(range(len(lines)), 2) if len(grams[i] & grams[j]) >= 0.8 * len(grams[i] | grams[j])]
-    assert len(near) > 100 and sum((keys[i] == keys[j]).any() for i, j in near) >= 0.98 * len(near)
+    assert len(near) > 300 and sum(p in met for p in near) >= 0.97 * len(near)
+    assert [residue.sims_of(y, start[i : i + 1], end[i : i + 1], mark[i : i + 1])[0] for i in range(5)] == sims[:5].tolist()
+
+
+def test_the_front_in_several_passes_finds_the_same(spark, monkeypatch):
+    data = [(i, [("assistant", f"Oops! {x}. (code 503)"), ("user", f"{x} soon")]) for i, x in enumerate(text(random.Random(i), 16) for i in range(12))]
+    df = spark.createDataFrame(data, f"id bigint, m {MESSAGES}")
+    every = rows(residue.residue(df, "id", "m"))
+    monkeypatch.setattr(residue, "FRONT", 5)
+    monkeypatch.setattr(residue, "BROADCAST_MARKS", 1)
+    assert rows(residue.residue(df, "id", "m")) == every and len(every) == 24
 
 
 # --- 6: packing -------------------------------------------------------------------------------------------------------
