@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import keep
+
 
 def hash_order(key: str, salt: str = "") -> list[Column]:
     """Order of a seeded shuffle: md5 of the salted key, then the key."""
@@ -26,40 +28,46 @@ def sliced(df: DataFrame, key: str, start: int, stop: int) -> DataFrame:
     return df.orderBy(key).offset(start).limit(max(0, stop - start))
 
 
+def placed(df: DataFrame, order: list[Column], parts: int) -> DataFrame:
+    """df in a global order with `_part`, the range a row is in, and `_n`, its number there. Written once: ranges come from a sample, so
+    what is taken from two runs of the same exchange doesn't fit together."""
+    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    at = F.col("_id")
+    return keep(ranged).withColumn("_part", F.shiftright(at, 33).cast("int")).withColumn("_n", at.bitwiseAND(F.lit((1 << 33) - 1))).drop("_id")
+
+
 def numbered(df: DataFrame, order: list[Column], name: str = "idx", parts: int = 64) -> DataFrame:
     """A dense number from 0 in a global order, without a single task that sees all rows.
 
-    Rows are range-partitioned and numbered within their partition; partition sizes, one row each, are summed and joined back.
+    Rows are range-partitioned and numbered within their range; the ranges' sizes, one row each, are summed and joined back.
     """
-    ranged = df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id())
-    local = ranged.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1)
-    sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_c"))
+    local = placed(df, order, parts)
+    sizes = local.groupBy("_part").agg(F.count(F.lit(1)).alias("_c"))
     before = F.sum("_c").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))  # at most `parts` rows
     starts = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_start"))
     return local.join(F.broadcast(starts), "_part").withColumn(name, F.col("_n") + F.col("_start")).drop("_part", "_n", "_start")
 
 
 def numbered_within(df: DataFrame, key: str, order: list[Column], name: str = "idx", parts: int = 64) -> DataFrame:
-    """A dense number from 0 within each key. Rows are partitioned by ranges of key and order, so a hot key spans several tasks; its
-    parts are numbered one by one and their sizes, a row a part, summed."""
-    ranged = df.repartitionByRange(parts, F.col(key), *order).withColumn("_part", F.spark_partition_id())
-    local = ranged.withColumn("_n", F.row_number().over(Window.partitionBy("_part", key).orderBy(*order)) - 1)
-    sizes = ranged.groupBy("_part", F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_c")).withColumnRenamed("_part", "_p")
+    """A dense number from 0 within each key. Rows are partitioned by ranges of key and order, so a hot key spans several tasks; the
+    sizes of its parts, a row each, are summed."""
+    local = placed(df, [F.col(key), *order], parts)
+    sizes = local.groupBy(F.col("_part").alias("_p"), F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_c"), F.min("_n").alias("_first"))
     before = F.sum("_c").over(Window.partitionBy("_key").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))
-    starts = sizes.select("_p", "_key", F.coalesce(before, F.lit(0)).alias("_start"))
+    starts = sizes.select("_p", "_key", "_first", F.coalesce(before, F.lit(0)).alias("_start"))
     joined = local.join(starts, (F.col("_part") == F.col("_p")) & F.col(key).eqNullSafe(F.col("_key")))
-    return joined.withColumn(name, F.col("_n") + F.col("_start")).drop("_part", "_n", "_start", "_p", "_key")
+    return joined.withColumn(name, F.col("_n") - F.col("_first") + F.col("_start")).drop("_part", "_n", "_start", "_first", "_p", "_key")
 
 
 def running_total(df: DataFrame, order: list[Column], value: str, name: str = "running", parts: int = 64) -> DataFrame:
     """The sum of value up to and with each row in a global order, by the same way: sums within ranges, the ranges' sums joined back."""
-    ranged = df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id())
-    own = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = ranged.withColumn("_n", F.sum(value).over(own))
+    ranged = placed(df, order, parts)
+    own = Window.partitionBy("_part").orderBy("_n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = ranged.withColumn("_sum", F.sum(value).over(own))
     sums = ranged.groupBy("_part").agg(F.sum(value).alias("_c"))
     before = F.sum("_c").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))  # at most `parts` rows
     starts = sums.select("_part", F.coalesce(before, F.lit(0)).alias("_start"))
-    return local.join(F.broadcast(starts), "_part").withColumn(name, F.col("_n") + F.col("_start")).drop("_part", "_n", "_start")
+    return local.join(F.broadcast(starts), "_part").withColumn(name, F.col("_sum") + F.col("_start")).drop("_part", "_n", "_sum", "_start")
 
 
 def ordered_numbers(df: DataFrame, key: str, name: str = "idx") -> DataFrame:

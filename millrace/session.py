@@ -28,11 +28,16 @@ def local_session(cpus: int | str = 8, partitions: int = 8, memory: str = "8g",
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or, where that is unset (tests), a local one set here."""
+    """The folder all executors share: spark.checkpoint.dir. Where that is unset, a local one is set here, but only if all executors are on this machine."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        at = current.get() if current.isDefined() else "file://" + tempfile.mkdtemp(prefix="millrace-")
+        if current.isDefined():
+            at = current.get()
+        elif spark.sparkContext.master.startswith("local"):
+            at = "file://" + tempfile.mkdtemp(prefix="millrace-")
+        else:
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(at)
     return at
