@@ -27,9 +27,9 @@ from .words import words_of
 DEFECTS = ("empty", "truncated", "refusal", "copied", "wrong_language")
 #: Pairs of the sample that training pairs are made of, taken by the hash of their ids.
 SAMPLE = 3000
-#: With fewer pairs, plain ones are added to train on.
-FEW = 200
 HASHED = 1024
+#: One training pair in so many is held out for calibration.
+HELD = 4
 
 # Frequent words that tell the languages apart.
 STOPWORDS = {
@@ -50,41 +50,55 @@ THOUGHT = re.compile(r"<(think|thinking|thought|reasoning|analysis)>.*?(?:</\1>|
 TAG = re.compile(r"</?[a-z_]+/?>", re.I)
 WORD = re.compile(r"[^\W_]+")
 
-# Parts that refusals are composed of, by language: openings, refusals, reasons, closings.
+#: Parts that refusals for training are composed of, by language: openings, refusals, reasons, closings; written from general knowledge.
 REFUSALS = {
     "en": (
-        ["", "I'm sorry, but", "I’m sorry, but", "Sorry,", "Unfortunately,", "With respect,", "As a language model,", "As an AI,", "Thanks for asking, but", "I appreciate the question, however", "I have to be upfront:", "After some thought,", "This one is not for me;"],
-        "I can't help with this request|I can’t help with that|I cannot assist with that|I am not able to assist here|I'm unable to comply|I’m unable to do this|I must decline|I won't be answering that|I will not answer this|I would rather not take this on|I cannot provide that kind of content|that is something I have to pass on|this stays off limits for me|it is best that I leave this alone|no answer will come from me on this topic|you will have to look elsewhere for that|I have to refuse".split("|"),
-        ["", "", " because it goes against my guidelines", " since it might cause harm", " for safety reasons", " as it falls outside what I am allowed to do", " and I hope you understand"],
-        ["", "", " Please ask a qualified person instead.", " Feel free to ask me something else.", " Is there another topic you want to discuss?", " Take care.", " I can talk about cooking instead."],
+        ["", "", "I'm sorry,", "Sorry, but", "I apologize, but", "I’m really sorry, however", "Regrettably,", "As an AI assistant,", "Thank you for reaching out, but", "I understand why you ask, but", "To be honest,"],
+        "I can't assist with that|I’m not able to help with this|I cannot fulfill this request|I won't provide that|I can’t give you this information|I am unable to answer that question|I have to decline|I decline to answer|I respectfully decline|I'm going to pass on this one|I don't feel comfortable answering|that isn't something I can do|it would not be right for me to respond|I must refuse to do this|I refuse|I am not permitted to discuss this|helping with that is not possible for me|this is outside of what I may do|I will not be writing about this|I would prefer not to answer|I'd rather stay away from this subject|I cannot comply with your request|you should look for help somewhere else".split("|"),
+        ["", "", " as it could be dangerous", " because of my content policy", " because it may be unsafe", " since this topic is restricted", " for ethical reasons", ", and I ask for your understanding"],
+        ["", "", " Please consult a professional.", " Is there anything else I can do for you?", " Let me know if you have a different question.", " I'd be happy to help with another topic."],
     ),
     "de": (
-        ["", "Es tut mir leid, aber", "Leider gilt:", "Danke für die Frage, doch", "Als Sprachmodell sage ich offen:", "Entschuldigung,"],
-        "dabei kann ich nicht helfen|das möchte ich lieber nicht übernehmen|solche Inhalte darf ich nicht liefern|darauf werde ich nicht antworten|diese Bitte muss ich ablehnen|das kann ich nicht beantworten".split("|"),
-        ["", "", ", weil es meinen Vorgaben widerspricht", " aus Gründen der Sicherheit"],
-        ["", "", " Bitte stellen Sie eine andere Frage.", " Ich bitte um Verständnis."],
+        ["", "", "Es tut mir sehr leid,", "Ich bitte um Nachsicht, doch", "Ich bedaure,", "Leider", "Als KI-Assistent", "Vielen Dank für die Anfrage, aber", "Ehrlich gesagt:"],
+        "kann ich Ihnen hierbei nicht helfen|ich kann diese Anfrage nicht erfüllen|dazu kann ich keine Auskunft geben|das darf ich nicht beantworten|ich lehne diese Anfrage ab|ich werde das nicht schreiben|ich möchte dazu nichts sagen|das ist mir nicht erlaubt|hierauf gebe ich keine Antwort|ich muss das leider ablehnen|solche Texte liefere ich nicht|damit kann ich nicht dienen".split("|"),
+        ["", "", ", da es gefährlich sein könnte", " wegen meiner Richtlinien", " aus ethischen Gründen", ", weil dieses Thema gesperrt ist"],
+        ["", "", " Bitte wenden Sie sich an eine Fachperson.", " Kann ich sonst noch etwas für Sie tun?", " Fragen Sie mich gern etwas anderes."],
     ),
     "fr": (
-        ["", "Je suis désolé, mais", "Malheureusement,", "Merci pour la question, toutefois", "En tant que modèle de langage,", "Désolé,"],
-        "je ne peux pas vous aider sur ce point|je dois décliner cette demande|je préfère ne pas m'en charger|je ne répondrai pas à cela|il m'est impossible de fournir ce contenu|je ne suis pas en mesure de répondre".split("|"),
-        ["", "", " pour des raisons de sécurité", " car cela va contre mes règles"],
-        ["", "", " Posez-moi une autre question.", " Merci de votre compréhension."],
+        ["", "", "Je suis navré,", "Désolée, mais", "Je regrette,", "Hélas,", "En tant qu'assistant,", "Je vous remercie de votre message, mais", "Pour être honnête,"],
+        "je ne peux pas répondre à cette demande|je ne suis pas autorisé à en parler|je refuse de traiter ce sujet|je ne vais pas écrire cela|il ne m'est pas permis de répondre|je dois refuser|je ne peux pas vous fournir cette information|je préfère ne rien dire là-dessus|je ne peux rien faire pour vous ici|cela dépasse ce que je peux faire|je décline votre demande|je ne traite pas ce genre de contenu".split("|"),
+        ["", "", " parce que cela pourrait être dangereux", " en raison de mes règles", " pour des raisons éthiques", ", car ce sujet est interdit"],
+        ["", "", " Veuillez consulter un professionnel.", " Puis-je vous aider autrement ?", " Essayez avec une autre question."],
     ),
     "es": (
-        ["", "Lo siento, pero", "Lamentablemente,", "Gracias por la pregunta, aunque", "Como modelo de lenguaje,", "Disculpa,"],
-        "no puedo ayudar con esto|no voy a responder a eso|prefiero no encargarme de ello|debo rechazar esta petición|no me es posible ofrecer ese contenido|no estoy en condiciones de contestar".split("|"),
-        ["", "", " por motivos de seguridad", " porque va contra mis normas"],
-        ["", "", " Hazme otra pregunta, por favor.", " Gracias por tu comprensión."],
+        ["", "", "Lo lamento,", "Perdona, pero", "Lo siento mucho,", "Por desgracia,", "Como asistente,", "Te agradezco el mensaje, pero", "Para ser sincero,"],
+        "no puedo responder a esta solicitud|no me está permitido hablar de eso|me niego a tratar este tema|no escribiré sobre esto|tengo que negarme|no puedo darte esa información|prefiero no decir nada al respecto|no puedo hacer nada por ti aquí|eso queda fuera de lo que puedo hacer|rechazo tu solicitud|no trabajo con ese tipo de contenido|no estoy autorizado a contestar".split("|"),
+        ["", "", " porque podría ser peligroso", " debido a mis reglas", " por razones éticas", ", ya que este tema está restringido"],
+        ["", "", " Consulta a un profesional.", " ¿Puedo ayudarte con otra cosa?", " Prueba con una pregunta distinta."],
     ),
 }
-# Sound openings with words of a refusal or an apology.
+#: Sound openings with words of a refusal or an apology, for training; written from general knowledge.
 HARMLESS = (
-    "Sorry for the confusion in my last message.|Sorry for the late reply.|I'm sorry to hear about that; the fix is short.|You can't do both at once, but the order below is safe.|I can't see a single mistake in your draft, so here is what happens next.|"
-    "I'm unable to name one winner without more data, so both options follow.|This may go against the guidelines of the harbour, so ask there too.|The clerk said: \"I must decline.\" What that means is simple.|Unfortunately the first attempt fails, so take the second.|I cannot stress this enough: keep a copy.|"
-    "Entschuldigung für die Verwechslung.|Leider reicht die Zeit nur für eine kurze Antwort.|Désolé pour la confusion.|Malheureusement il faut deux étapes.|Perdón por la confusión.|Lamentablemente hacen falta dos pasos.".split("|")
+    "Sorry about the mix-up earlier.|Sorry it took so long to write back.|Apologies for the typo above.|I'm sorry your first try failed; here is a better one.|You cannot skip the second step, though the third is optional.|I can't recommend this approach enough.|I can't find an error in what you wrote, so only the style is left.|"
+    "I'm not able to say which is best, so I compare them all.|Unfortunately the short way does not work, so we go the long one.|I won't go into every detail, but the main idea is this.|The guard answered: \"I refuse to open the gate.\" Here is what that tells us.|This might break the rules of some clubs, so check them first.|"
+    "Ich bitte um Entschuldigung für den Tippfehler.|Leider gibt es keinen kürzeren Weg, also der Reihe nach.|Tut mir leid, dass es so lange gedauert hat.|Pardon pour la faute de frappe.|Hélas, il n'y a pas de raccourci, donc pas à pas.|Siento la demora en contestar.|Por desgracia no hay atajo, así que vamos paso a paso.|Disculpa la errata de antes.".split("|")
 )
 BLANKS = ["", " ", "\n\n", "\t \n", "​", "N/A", "null", "[]", '""', "{}", "-", "...", "```\n```", "[no content]", "<answer></answer>", "Answer:", "Response: ", "None", "<think>I weigh the options.</think>", "<think>Erst prüfen.</think>\n\n"]
-SHORT = ["Yes", "No.", "None of them", "0", "42", "Both", "Ja", "Nein", "Oui", "Non", "Sí", "Only the first", "17 of them", "Mavelin"]
+SHORT = ["Yes", "No.", "None of them", "0", "42", "Both", "Ja", "Nein", "Oui", "Non", "Sí", "Only the first", "17 of them", "Rosalind"]
+
+#: Kinds of words that refusals are made of, in four languages: a speaker, what the speaker doesn't do, excuses, reasons, ways out.
+MANNERS = [
+    re.compile(x)
+    for x in (
+        r"\b(?:i|i['’]\w+|me|my|ich|mir|mich|meine\w*|je|j['’]|m['’]|moi|mes|mon|yo|mí|mis|puedo|debo|prefiero|quiero|voy|estoy|tengo)\b",
+        r"\b(?:can['’]?t|cannot|unable|not able|impossible|won['’]t|(?:can|could|will|would|must|may|do|am|is) not|rather not|prefer not|declin\w+|refus\w+|reject\w*|pass on|ablehn\w*|lehne|verweiger\w*|nicht|keine|ne (?:peux|puis|vais|suis|veux|souhaite|\w+rai) (?:pas|rien)|impossible|déclin\w+|préfère (?:ne|pas|m)|"
+        r"pas (?:autorisé|en mesure|possible)|no (?:puedo|debo|voy|quiero|me|estoy|es posible|\w+ré)|rechaz\w+|negarme|niego|prefiero no)\b",
+        r"\b(?:sorry|apolog\w+|unfortunately|regret\w*|language model|as an ai|assistant|appreciate|thank\w*|leid|leider|entschuldig\w*|bedaur\w*|sprachmodell|danke|désolée?|navrée?|malheureusement|regrette|modèle de langage|merci|siento|lament\w+|perd[oó]n\w*|disculp\w+|desgracia|modelo de lenguaje|asistente|gracias)\b",
+        r"\b(?:guidelines?|polic(?:y|ies)|safe\w*|unsafe|harm\w*|danger\w*|ethic\w*|allowed|permitted|richtlinien|vorgaben|sicherheit|gefährlich|ethisch\w*|erlaubt|règles|sécurité|dangereux|éthique\w*|autorisée?|normas|reglas|seguridad|peligros\w*|étic\w+|permitid\w+)\b",
+        r"\b(?:something else|somewhere else|elsewhere|(?:another|different|other) (?:questions?|topics?|subjects?|requests?|things?)|professional|qualified|anything else|understanding|andere[ns]? (?:frage|thema)|verständnis|fachperson|autre (?:question|sujet|chose)|compréhension|professionnel|otra (?:pregunta|cosa)|otro tema|comprensión|profesional)\b",
+    )
+]
+_BREAK = re.compile(r"[.!?;:\n]+\s")
 
 _STOP = {x: set(w.split()) for x, w in STOPWORDS.items()}
 _ONLY = {w: x for x, own in _STOP.items() for w in own if sum(w in o for o in _STOP.values()) == 1}
@@ -92,7 +106,7 @@ _NAMES = {x: re.compile(n, re.I) for x, n in LANGUAGE_NAMES.items()}
 LANGS = tuple(STOPWORDS)
 
 
-DENSE = 16
+DENSE = 23
 _NUMBER = re.compile(r"\d")
 
 
@@ -148,6 +162,13 @@ def features(pairs: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
         x[i, 0] = not says
         asks.append((prompt or "").lower())
         texts.append(text.lower() if says else "")
+        if says:
+            # how much of the text each of the manners is in, by its sentences
+            count = len(_BREAK.findall(texts[-1])) + 1
+            shares = [min(1.0, sum(1 for _ in m.finditer(texts[-1])) / count) for m in MANNERS]
+            x[i, 16:21] = shares
+            x[i, 21] = sum(v > 0.3 for v in shares) / len(shares)
+            x[i, 22] = shares[0] * max(shares[1:])
         x[i, 15] = says and bool(_NUMBER.search(text))
         if says and any(q in text for q in "\"“„«"):
             quoted.append(i)
@@ -200,8 +221,10 @@ def scores_of(pairs: list[tuple], weights: np.ndarray, bias: np.ndarray) -> np.n
     return s
 
 
-def refusal(rng: random.Random, lang: str) -> str:
-    opening, said, why, closing = (rng.choice(x) for x in REFUSALS[lang])
+def refusal(rng: random.Random, lang: str, held: bool) -> str:
+    """A refusal; those for calibration say what none of the others does, so that thresholds hold for phrases not trained on."""
+    openings, every, whys, closings = REFUSALS[lang]
+    opening, said, why, closing = rng.choice(openings), rng.choice(every[2::3] if held else [x for i, x in enumerate(every) if i % 3 != 2]), rng.choice(whys), rng.choice(closings)
     text = f"{opening} {said}".strip()
     return text[:1].upper() + text[1:] + why + "." + closing
 
@@ -230,7 +253,7 @@ def altered(rng: random.Random, prompt: str) -> str:
 
 
 def plain_pairs(n: int = 240) -> list[tuple]:
-    """Sound pairs made of frequent and invented words, for tables too small to train on; the same at every run."""
+    """Sound pairs made of frequent and invented words, which are always trained on as well, as a small table has few; the same at every run."""
     rng = random.Random(5)
     coin = lambda: "".join(rng.choice("bdfgklmnprstv") + rng.choice("aeiou") for _ in range(rng.randrange(2, 4)))
     out = []
@@ -264,7 +287,7 @@ def training(sample: list[tuple]) -> list[tuple[str, str, str | None]]:
             made.append((prompt, prompt + rng.choice(["\n\n", " "]) + content, None))
             made.append((prompt, rng.choice(HARMLESS) + " " + content, None))
         elif turn == 1:
-            made.append((prompt, refusal(rng, lang if rng.random() < 0.7 else rng.choice(LANGS)), "refusal"))
+            made.append((prompt, refusal(rng, lang if rng.random() < 0.7 else rng.choice(LANGS), len(made) % HELD == HELD - 1), "refusal"))
             made.append((prompt, rng.choice(SHORT), None))
             made.append((prompt, rng.choice(BLANKS), "empty"))
         elif other:
@@ -321,13 +344,13 @@ def defective(pairs: DataFrame, sample: int = SAMPLE) -> DataFrame:
 
     rows = pairs.orderBy(F.xxhash64("id"), "id").limit(sample).join(F.broadcast(ended.withColumn("cut", F.lit(1))) if ended.limit(cuts.BROADCAST_IDS + 1).count() <= cuts.BROADCAST_IDS else ended.withColumn("cut", F.lit(1)), "id", "left").where("cut is null")
     taken = [tuple(r) for r in rows.select("id", "prompt", "content").collect()]
-    made = training(taken + plain_pairs() if len(taken) < FEW else taken)
+    made = training(taken + plain_pairs())
     own = spark.createDataFrame([(i, "assistant", c) for i, (_, c, _) in enumerate(made)], "id bigint, role string, text string")
     cut = {r[0] for r in cuts.scored(keep(cuts.verdicts(own)), known).collect()}
     x = dense_of([m[:2] for m in made])
     x = np.hstack([x, np.array([[i in cut] for i in range(len(made))], np.float32)])
     y = np.array([[m[2] == d for d in DEFECTS] for m in made], np.float32)
-    held = np.arange(len(made)) % 4 == 3
+    held = np.arange(len(made)) % HELD == HELD - 1
     w, b = fit(x[~held], y[~held])
     limit = calibrated(x[held] @ w + b, y[held])
     ending = w[-1]

@@ -15,6 +15,8 @@ ABBREVIATIONS = frozenset(
 NOTHING = frozenset("n/a na none null nil nan undefined empty response answer antwort réponse respuesta output result content [no content] [empty] <answer></answer> tbd todo".split()) | {"no content", "no answer", "no response"}
 #: What follows the closing mark of a complete text.
 AFTER = re.compile(r"(?:\s*(?:\[\d+\]|\[\^\d+\]|[✔✓☑🙂😀🙏👍]|[\"”“»)\]*_’'>}]))+$")
+#: The characters that AFTER can end with.
+CLOSERS = frozenset("✔✓☑🙂😀🙏👍\"”“»)*_’'>}]")
 #: Texts that trail off on purpose.
 TRAILING = re.compile(r"(?:only the beginning|and so on|and so forth|to be continued|who knows|we will see|und so weiter|usw|wer weiß|fortsetzung folgt|et ainsi de suite|etc|à suivre|qui sait|y así sucesivamente|y así|continuará|quién sabe|nur der anfang|que le début|solo el (?:comienzo|principio))\W*$", re.I)
 ITEM = re.compile(r"\s*(?:[-*•+]|\d+[.)])(?:\s|$)")
@@ -47,7 +49,7 @@ def judge(role: str | None, text: str | None) -> tuple[str, str]:
     dots = s.endswith(("…", "..."))
     if dots:
         return ("complete" if TRAILING.search(s) else "cut"), ""
-    bare = AFTER.sub("", s)
+    bare = AFTER.sub("", s) if s[-1] in CLOSERS else s
     if not bare or bare.endswith("```"):
         return "complete", ""
     if bare.endswith("|") and last.lstrip().startswith("|"):

@@ -99,6 +99,8 @@ def _pairs(kinds: tuple[tuple[str, str], ...]) -> list[tuple[re.Pattern, re.Patt
 
 
 _BOTH = _pairs(NEEDING)
+#: A word of these is in every sentence that SAID or NEEDING tells.
+_PART = re.compile(r"javascript|cookie|script|skript|browser|navigateur|navegador|you|robot|human|page|denied|wait|moment", re.I)
 _TRIM = " .!?…\"'“”„«»()*_>-"
 
 
@@ -106,7 +108,7 @@ def is_page(sentence: str) -> bool:
     """Whether a sentence is one that a failing or demanding page shows."""
     if ERROR.fullmatch(sentence):
         return True
-    if len(sentence) > SENTENCE_SIZE:
+    if len(sentence) > SENTENCE_SIZE or not _PART.search(sentence):
         return False
     return bool(SAID.fullmatch(sentence)) or not SPEAKER.search(sentence) and any(x.search(sentence) and y.search(sentence) for x, y in _BOTH)
 

@@ -1,6 +1,7 @@
 """Operators on text against brute force, on small fixtures with nulls, empty, long, repeated and tied rows."""
 
 import itertools
+import os
 import random
 import re
 import unicodedata
@@ -169,6 +170,34 @@ def test_held_out_accuracy():
     assert abs(defects.scores_of([m[:2] for m in made[:50]], w, b) - (x[:50] @ w + b)).max() < 1e-3
 
 
+def test_no_training_phrase_stands_in_the_test_data():
+    pq = pytest.importorskip("pyarrow.parquet")
+    at = "/root/testdata/sf0.1/rollouts.parquet"
+    if not os.path.exists(at):
+        pytest.skip("no test data")
+    said = "\n".join(x.lower() for x in pq.read_table(at, columns=["content"]).column(0).to_pylist() if x)
+    phrases = [p.strip(" .,;:").lower() for parts in defects.REFUSALS.values() for part in parts for p in part] + [p.strip(".").lower() for p in defects.HARMLESS]
+    assert not [p for p in phrases if len(p.split()) > 2 and p in said]
+
+
+def test_refusals_of_a_language_never_trained_on_are_mostly_found():
+    rng = random.Random(6)
+    base = [(i, " ".join([text(rng, 12), "the of and to is"]) + "?", " ".join(f"The {text(rng, 9)} of the and to is." for _ in range(4))) for i in range(300)]
+    kept = dict(defects.REFUSALS)
+    for lang in ("de", "fr", "es"):
+        defects.REFUSALS[lang] = kept["en"]
+        try:
+            made = defects.training(base + defects.plain_pairs())
+        finally:
+            defects.REFUSALS[lang] = kept[lang]
+        x, y = defects.dense_of([m[:2] for m in made]), defects.np.array([[m[2] == d for d in defects.DEFECTS] for m in made], defects.np.float32)
+        held = defects.np.arange(len(made)) % defects.HELD == defects.HELD - 1
+        w, b = defects.fit(x[~held], y[~held])
+        limit = defects.calibrated(x[held] @ w + b, y[held])
+        asked = [(base[i][1], defects.refusal(rng, lang, False)) for i in range(100)]
+        assert ((defects.dense_of(asked) @ w + b - limit)[:, 2] > 0).mean() > 0.5, lang
+
+
 def test_defects_of_odd_rows(spark):
     rng = random.Random(5)
     data = [(i, text(rng, 30).capitalize() + "?", " ".join(text(rng, 12).capitalize() + "." for _ in range(4))) for i in range(120)]
