@@ -11,6 +11,7 @@ from __future__ import annotations
 import random
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from .words import words_of
 
 DEFECTS = ("empty", "truncated", "refusal", "copied", "wrong_language")
 #: Pairs of the sample that training pairs are made of, taken by the hash of their ids.
-SAMPLE = 3000
+SAMPLE = 1500
 HASHED = 1024
 #: One training pair in so many is held out for calibration.
 HELD = 4
@@ -86,19 +87,40 @@ HARMLESS = (
 BLANKS = ["", " ", "\n\n", "\t \n", "​", "N/A", "null", "[]", '""', "{}", "-", "...", "```\n```", "[no content]", "<answer></answer>", "Answer:", "Response: ", "None", "<think>I weigh the options.</think>", "<think>Erst prüfen.</think>\n\n"]
 SHORT = ["Yes", "No.", "None of them", "0", "42", "Both", "Ja", "Nein", "Oui", "Non", "Sí", "Only the first", "17 of them", "Rosalind"]
 
-#: Kinds of words that refusals are made of, in four languages: a speaker, what the speaker doesn't do, excuses, reasons, ways out.
-MANNERS = [
-    re.compile(x)
-    for x in (
-        r"\b(?:i|i['’]\w+|me|my|ich|mir|mich|meine\w*|je|j['’]|m['’]|moi|mes|mon|yo|mí|mis|puedo|debo|prefiero|quiero|voy|estoy|tengo)\b",
-        r"\b(?:can['’]?t|cannot|unable|not able|impossible|won['’]t|(?:can|could|will|would|must|may|do|am|is) not|rather not|prefer not|declin\w+|refus\w+|reject\w*|pass on|ablehn\w*|lehne|verweiger\w*|nicht|keine|ne (?:peux|puis|vais|suis|veux|souhaite|\w+rai) (?:pas|rien)|impossible|déclin\w+|préfère (?:ne|pas|m)|"
-        r"pas (?:autorisé|en mesure|possible)|no (?:puedo|debo|voy|quiero|me|estoy|es posible|\w+ré)|rechaz\w+|negarme|niego|prefiero no)\b",
-        r"\b(?:sorry|apolog\w+|unfortunately|regret\w*|language model|as an ai|assistant|appreciate|thank\w*|leid|leider|entschuldig\w*|bedaur\w*|sprachmodell|danke|désolée?|navrée?|malheureusement|regrette|modèle de langage|merci|siento|lament\w+|perd[oó]n\w*|disculp\w+|desgracia|modelo de lenguaje|asistente|gracias)\b",
-        r"\b(?:guidelines?|polic(?:y|ies)|safe\w*|unsafe|harm\w*|danger\w*|ethic\w*|allowed|permitted|richtlinien|vorgaben|sicherheit|gefährlich|ethisch\w*|erlaubt|règles|sécurité|dangereux|éthique\w*|autorisée?|normas|reglas|seguridad|peligros\w*|étic\w+|permitid\w+)\b",
-        r"\b(?:something else|somewhere else|elsewhere|(?:another|different|other) (?:questions?|topics?|subjects?|requests?|things?)|professional|qualified|anything else|understanding|andere[ns]? (?:frage|thema)|verständnis|fachperson|autre (?:question|sujet|chose)|compréhension|professionnel|otra (?:pregunta|cosa)|otro tema|comprensión|profesional)\b",
-    )
-]
-_BREAK = re.compile(r"[.!?;:\n]+\s")
+#: Kinds of words, and of pairs of neighbouring words, that refusals are made of, in four languages: a speaker, what the speaker doesn't
+#: do, excuses, reasons, ways out. An apostrophe parts words.
+MANNERS = (
+    "i me my ich mir mich meine meinen meinem meiner je j m moi mes yo mí mis puedo debo prefiero quiero voy estoy tengo",
+    "can_t cannot unable not_able impossible won_t can_not could_not will_not would_not must_not may_not do_not don_t am_not is_not isn_t rather_not prefer_not decline declined refuse refused reject pass_on ablehnen lehne verweigere verweigern nicht keine "
+    "ne_peux ne_puis ne_vais ne_suis ne_veux ne_souhaite refuse refuser décline décliner préfère_ne préfère_pas pas_autorisé en_mesure m_est no_puedo no_debo no_voy no_quiero no_me no_estoy no_es rechazo rechazar negarme niego prefiero_no",
+    "sorry apologize apologies apologise unfortunately regret regrettably language_model as_an assistant appreciate thank thanks leid leider entschuldigung entschuldigen bedaure bedauere sprachmodell danke désolé désolée navré navrée malheureusement regrette modèle_de merci siento lamento lamentablemente perdón perdona disculpa desgracia modelo_de asistente gracias",
+    "guidelines guideline policy policies safe safety unsafe harm harmful danger dangerous ethics ethical allowed permitted richtlinien vorgaben sicherheit gefährlich ethischen erlaubt règles sécurité dangereux éthiques autorisé autorisée normas reglas seguridad peligroso éticas permitido",
+    "something_else somewhere_else anything_else elsewhere another_question another_topic different_question different_topic other_question other_topic another_subject professional qualified understanding andere_frage anderes_thema verständnis fachperson autre_question autre_sujet autre_chose compréhension professionnel otra_pregunta otra_cosa otro_tema comprensión profesional",
+)
+
+
+@cache
+def manners() -> list[tuple[np.ndarray, np.ndarray]]:
+    """(hashes, kinds), sorted by hash, of the single words and of the pairs."""
+    out = []
+    for n in (1, 2):
+        told = [(w.split("_"), k) for k, every in enumerate(MANNERS) for w in every.split() if w.count("_") == n - 1]
+        h = words_of([" ".join(w) for w, _ in told])[0].reshape(-1, n)
+        h = h[:, 0] if n == 1 else mixed(h[:, 0] * U(0x100000001B3) + h[:, 1])
+        order = np.argsort(h)
+        out.append((h[order], np.array([k for _, k in told])[order]))
+    return out
+
+
+def manners_of(rows: list[tuple[np.ndarray, np.ndarray]], n: int) -> np.ndarray:
+    """How many words and pairs (row, hash) of each kind every row has; a word of two kinds counts in one."""
+    out = np.zeros(n * len(MANNERS))
+    for (row, words), (known, kind) in zip(rows, manners()):
+        at = np.minimum(np.searchsorted(known, words), len(known) - 1)
+        hit = known[at] == words
+        out += np.bincount(row[hit] * len(MANNERS) + kind[at[hit]], minlength=len(out))
+    return out.reshape(n, len(MANNERS))
+
 
 _STOP = {x: set(w.split()) for x, w in STOPWORDS.items()}
 _ONLY = {w: x for x, own in _STOP.items() for w in own if sum(w in o for o in _STOP.values()) == 1}
@@ -162,13 +184,6 @@ def features(pairs: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
         x[i, 0] = not says
         asks.append((prompt or "").lower())
         texts.append(text.lower() if says else "")
-        if says:
-            # how much of the text each of the manners is in, by its sentences
-            count = len(_BREAK.findall(texts[-1])) + 1
-            shares = [min(1.0, sum(1 for _ in m.finditer(texts[-1])) / count) for m in MANNERS]
-            x[i, 16:21] = shares
-            x[i, 21] = sum(v > 0.3 for v in shares) / len(shares)
-            x[i, 22] = shares[0] * max(shares[1:])
         x[i, 15] = says and bool(_NUMBER.search(text))
         if says and any(q in text for q in "\"“„«"):
             quoted.append(i)
@@ -176,6 +191,10 @@ def features(pairs: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     pr, pw, pgr, pg = rows_of(asks)
     cr, cw, cgr, cg = rows_of(texts)
     pn, cn, pgn, cgn = (np.bincount(r, minlength=n) for r in (pr, cr, pgr, cgr))
+    # how much of the text each of the manners is in, by its sentences
+    count = np.array([1 + sum(map(t.rstrip(" .!?\n").count, (". ", "! ", "? ", "; ", ": ", "\n"))) for t in texts])
+    shares = np.minimum(manners_of([(cr, cw), (cgr, cg)], n) / count[:, None], 1)
+    x[:, 16:21], x[:, 21], x[:, 22] = shares, (shares > 0.3).mean(axis=1), shares[:, 0] * shares[:, 1:].max(axis=1)
     both = (pn > 0) & (cn > 0)
     one, _ = overlap(cr, cw, pr, pw, n)
     two, loops = overlap(cgr, cg, pgr, pg, n)
@@ -204,10 +223,10 @@ def features(pairs: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     return x, row, index, count / length[row] if len(row) else count.astype(float)
 
 
-def dense_of(pairs: list[tuple]) -> np.ndarray:
-    """All features as a matrix, for training."""
+def dense_of(pairs: list[tuple], extra: int = 0) -> np.ndarray:
+    """All features as a matrix, for training, with so many more columns of zeros."""
     x, row, index, value = features(pairs)
-    out = np.zeros((len(pairs), DENSE + HASHED), np.float32)
+    out = np.zeros((len(pairs), DENSE + HASHED + extra), np.float32)
     out[:, :DENSE] = x
     out[row, DENSE + index] = value
     return out
@@ -347,12 +366,13 @@ def defective(pairs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     made = training(taken + plain_pairs())
     own = spark.createDataFrame([(i, "assistant", c) for i, (_, c, _) in enumerate(made)], "id bigint, role string, text string")
     cut = {r[0] for r in cuts.scored(keep(cuts.verdicts(own)), known).collect()}
-    x = dense_of([m[:2] for m in made])
-    x = np.hstack([x, np.array([[i in cut] for i in range(len(made))], np.float32)])
+    x = dense_of([m[:2] for m in made], 1)
+    x[:, -1] = [i in cut for i in range(len(made))]
     y = np.array([[m[2] == d for d in DEFECTS] for m in made], np.float32)
     held = np.arange(len(made)) % HELD == HELD - 1
     w, b = fit(x[~held], y[~held])
     limit = calibrated(x[held] @ w + b, y[held])
+    del x, made, own, taken
     ending = w[-1]
     shared = spark.sparkContext.broadcast((w[:-1], b - limit))
     schema = pa.schema([("id", pa.int64()), ("s", pa.list_(pa.float32()))])
