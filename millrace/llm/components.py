@@ -10,15 +10,15 @@ from pyspark.sql import functions as F
 from ..session import keep
 
 
-def components(links: DataFrame, rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(id, comp) for every end of links (a, b): comp is the least id that can be reached.
 
     Alternating large and small stars: each round links every node to the least of its neighbourhood, in a number of
     rounds that grows with the logarithm of the longest path. Minima are pre-aggregated before they are shuffled, and
-    rounds are cut through tables in the shared folder; nothing is read to the driver but whether a round changed anything.
+    rounds are cut through tables in the shared folder and go on until nothing changes; nothing is read to the driver but whether a round changed anything.
     """
     edges = keep(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    for _ in range(rounds):
+    while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
