@@ -32,16 +32,11 @@ PAYLOADS = {
 }
 #: The link name of each tag that has a parent.
 LINKS = {"calls": "call", "uses": "use", "answers": "answer", "params": "param"}
-#: A tools string may be encoded so many times over.
-ENCODINGS = 5
-
 
 def declared(text: str | None) -> list:
     """The entries of a tools string: a list, an object that holds one under `tools`, or either as encoded text."""
     value: object = text
-    for _ in range(ENCODINGS):
-        if not isinstance(value, str):
-            break
+    while isinstance(value, str):  # each decoding takes at least its quotes away
         try:
             value = json.loads(value.lstrip("﻿"))
         except (ValueError, RecursionError):

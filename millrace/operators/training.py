@@ -95,6 +95,11 @@ def discounted(x: Column, gamma: float) -> Column:
     return F.reverse(back)
 
 
+def discounted_first(x: Column, gamma: float) -> Column:
+    """The first of the discounted sums, in one pass from the end."""
+    return F.when(F.size(x) > 0, F.aggregate(F.reverse(x), F.lit(0.0), lambda acc, v: v + gamma * acc))
+
+
 # --- losses over token rows -------------------------------------------------------------------------------------------
 
 
@@ -117,6 +122,14 @@ def kl_penalised(df: DataFrame, sampled: str, base: str, mask: str, coef: float)
     return df.join(F.broadcast(mean)).withColumn("penalty", coef * F.col(mask) * (F.col("_mean") - d)).drop("_mean")
 
 
+def kl_penalties(df: DataFrame, key: list[str], sampled: str, base: str, mask: str, coef: float) -> DataFrame:
+    """(key, penalty, n): the sum of those penalties per key. Tokens are aggregated once; the mean is taken from the keys' sums."""
+    d = (F.col(sampled) - F.col(base)) * F.col(mask)
+    sums = df.groupBy(*key).agg(F.sum(d).alias("_d"), F.sum(mask).alias("n"))
+    mean = sums.agg(F.try_divide(F.sum("_d"), F.sum("n")).alias("_mean"))
+    return sums.join(F.broadcast(mean)).withColumn("penalty", coef * (F.col("_mean") * F.col("n") - F.col("_d"))).select(*key, "penalty", "n")
+
+
 def stopped(df: DataFrame, order: str, tokens: str, budget: int) -> DataFrame:
     """Rows in order up to the one that reaches the budget, with the running sum; no task sees all rows."""
     return running_total(df, [F.col(order)], tokens).where(F.col("running") - F.col(tokens) < budget)

@@ -59,7 +59,7 @@ def staleness(s: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "decontaminate_anti": lambda s, d: V.rollouts(s, d).join(table(s, d, "eval_items").select(F.col("lang").alias("x"), F.col("question").alias("prompt")), "prompt", "left_anti").select("rollout_id"),
     "semi_ids": lambda s, d: V.rollouts(s, d).join(table(s, d, "jobs").where("batch_size > 16").select("job_id"), "job_id", "left_semi").select("rollout_id", "job_id"),
-    "lookup_join": lambda s, d: V.tool_runs(s, d).join(F.broadcast(table(s, d, "mcp_servers").select("server_key", "title")), "server_key").select("run_id", "server_key", "title"),
+    "lookup_join": lambda s, d: V.tool_runs(s, d).join(table(s, d, "mcp_servers").select("server_key", "title"), "server_key").select("run_id", "server_key", "title"),
     "explode_tools_join": lambda s, d: table(s, d, "mcp_servers").select("server_key", F.posexplode("tools").alias("pos", "tool")).join(V.tool_runs(s, d).groupBy("server_key").agg(F.count(F.lit(1)).alias("n_runs")), "server_key").select("server_key", "pos", "tool", "n_runs"),
     "tool_dispatch": tool_dispatch,
     "zip_strict": zipped,
@@ -67,7 +67,7 @@ QUERIES = {
     "knn_topk": neighbours,
     "servers_with_tools": lambda s, d: table(s, d, "mcp_servers").where(F.size("tools") >= 2).select("server_key", F.size("tools").alias("n")),
     "event_offsets": lambda s, d: E.offsets(log(s, d).where("job_id is not null"), "job_id", ["event_offset", "log_id"]).select("log_id", F.col("offset").cast("bigint").alias("pos")),
-    "event_ring_buffer": lambda s, d: E.ring(log(s, d).where("job_id is not null"), "job_id", "event_offset", 20).select("job_id", "event_offset"),
+    "event_ring_buffer": lambda s, d: E.ring(log(s, d).where("job_id is not null"), "job_id", "event_offset").select("job_id", "event_offset"),
     "event_since": lambda s, d: E.since(log(s, d).where("job_id is not null"), "job_id", "event_offset", 10),
     "log_levels": levels,
     "stale_filter": staleness,
@@ -90,7 +90,7 @@ ORACLE = {
     "knn_topk": "SELECT query_id, rank::INT AS rank, neighbour_id FROM (SELECT q.vec_id AS query_id, e.vec_id AS neighbour_id, row_number() OVER (PARTITION BY q.vec_id ORDER BY list_cosine_similarity(q.embedding::DOUBLE[], e.embedding::DOUBLE[]) DESC, e.vec_id) AS rank FROM embeddings q JOIN embeddings e ON q.vec_id <> e.vec_id WHERE q.vec_id % 50 = 0) WHERE rank <= 5",
     "servers_with_tools": "SELECT server_key, len(tools)::INT AS n FROM mcp_servers WHERE len(tools) >= 2",
     "event_offsets": f"SELECT log_id, row_number() OVER (PARTITION BY job_id ORDER BY event_offset, log_id) - 1 AS pos FROM {_LOG} WHERE job_id IS NOT NULL",
-    "event_ring_buffer": f"SELECT job_id, event_offset FROM {_RING} WHERE event_offset > last - 20",
+    "event_ring_buffer": f"SELECT job_id, event_offset FROM {_RING} WHERE event_offset > last - 200",
     "event_since": f"SELECT job_id, count(*) FILTER (WHERE event_offset >= 10) AS n, max(event_offset) + 1 AS next, min(event_offset) > 10 AS truncated FROM {_RING} WHERE event_offset > last - 200 GROUP BY job_id",
     "log_levels": "SELECT job_mode, level, sum(n)::BIGINT AS n FROM (SELECT job_id, CASE WHEN r IS NULL THEN 'NONE' WHEN r LIKE 'WARN%' THEN 'WARNING' WHEN r LIKE 'ERR%' THEN 'ERROR' WHEN r LIKE 'INFO%' OR r = 'I' THEN 'INFO' WHEN r LIKE 'DEB%' THEN 'DEBUG' ELSE r END AS level, count(*) AS n "
     f"FROM (SELECT job_id, upper(trim(log_level, ' ')) AS r FROM {_LOG}) GROUP BY ALL) LEFT JOIN (SELECT job_id, job_mode FROM jobs) USING (job_id) GROUP BY job_mode, level",

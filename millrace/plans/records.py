@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import records as R
 from ..functions import tokens as K
 from ..functions.text import strip
+from ..operators.sampling import numbered
 from ..session import table
 from ..sources import views as V
 
@@ -78,8 +79,8 @@ def job_metrics(s: SparkSession, d: str) -> DataFrame:
 def log_ids(s: SparkSession, d: str) -> DataFrame:
     """Small ids of jobs by when they were first seen, and the events' time since then in microseconds."""
     log = table(s, d, "job_log").where("job_id is not null")
-    first = log.groupBy("job_id").agg(F.min("logged_at").alias("first"))  # one row a job: 400
-    return first.select("job_id", F.row_number().over(Window.orderBy("first", "job_id")).alias("pid"), F.date_format("first", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("first_at"))
+    first = numbered(log.groupBy("job_id").agg(F.min("logged_at").alias("first")), [F.col("first"), F.col("job_id")])
+    return first.select("job_id", (F.col("idx") + 1).cast("int").alias("pid"), F.date_format("first", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("first_at"))
 
 
 QUERIES = {

@@ -11,6 +11,8 @@ from ..operators import sampling as S
 from ..session import table
 from ..sources import views as V
 
+#: Pieces that are united, and one of all other rows.
+PIECES = ("en", "de", "fr", "es")
 SYSTEM_PROMPTS = ("You are a careful assistant.", "Answer briefly.", "Think step by step.")
 
 
@@ -48,7 +50,7 @@ QUERIES = {
     "group_replicate": lambda s, d: S.replicated(V.prompts(s, d).select("conv_id"), 4, "env"),
     "repeat_epochs": lambda s, d: S.replicated(table(s, d, "eval_items").select("item_id"), 3, "epoch"),
     "composite_batches": composite,
-    "union_pieces": lambda s, d: reduce(DataFrame.unionByName, [docs(s, d).where(F.col("lang") == x).select("doc_id", F.lit(x).alias("piece")) for x in ("en", "de", "fr")]),
+    "union_pieces": lambda s, d: reduce(DataFrame.unionByName, [docs(s, d).where(F.lower("lang") == x).select("doc_id", F.lit(x).alias("piece")) for x in PIECES] + [docs(s, d).where(F.coalesce(~F.lower("lang").isin(*PIECES), F.lit(True))).select("doc_id", F.lit("other").alias("piece"))]),
     "except_sets": lambda s, d: table(s, d, "jobs").select("job_id").subtract(V.rollouts(s, d).select("job_id")),
     "arithmetic_source": arithmetic,
 }
@@ -70,7 +72,7 @@ ORACLE = {
     "composite_batches": f"WITH b AS (SELECT conv_id AS id, (row_number() OVER (ORDER BY conv_id) - 1) // 32 AS batch, 0 AS dataset FROM {V.PROMPTS} QUALIFY batch < count(*) OVER () // 32 UNION ALL "
     f"SELECT rollout_id, (row_number() OVER (ORDER BY rollout_id) - 1) // 64 AS batch, 1 FROM {V.ROLLOUTS} QUALIFY batch < count(*) OVER () // 64) "
     "SELECT batch, dataset, count(*) AS n, min(id) AS first_id FROM b WHERE batch <= (SELECT min(m) FROM (SELECT max(batch) AS m FROM b GROUP BY dataset)) GROUP BY batch, dataset",
-    "union_pieces": "SELECT doc_id, lang AS piece FROM documents WHERE lang IN ('en', 'de', 'fr')",
+    "union_pieces": "SELECT doc_id, CASE WHEN lower(lang) IN ('en', 'de', 'fr', 'es') THEN lower(lang) ELSE 'other' END AS piece FROM documents",
     "except_sets": f"SELECT job_id FROM jobs EXCEPT SELECT job_id FROM {V.ROLLOUTS}",
     "arithmetic_source": f"SELECT id, 'What is ' || x || ' + ' || y || '?' AS question, x + y AS answer FROM (SELECT id, {V.h7_sql("'x:' || id")} % 101 AS x, {V.h7_sql("'y:' || id")} % 101 AS y FROM range(1000) t(id))",
 }

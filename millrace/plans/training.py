@@ -76,7 +76,7 @@ def turn_tokens(s: SparkSession, d: str) -> DataFrame:
 
 
 def shift_targets(s: SparkSession, d: str) -> DataFrame:
-    x, y = T.shifted(F.col("toks"), 64)
+    x, y = T.shifted(F.col("toks"))
     return turn_tokens(s, d).select("conv_id", "turn", F.md5(F.array_join(x, " ")).alias("input_md5"), F.md5(F.array_join(y, " ")).alias("target_md5"), F.size(y).alias("n"))
 
 
@@ -105,7 +105,7 @@ def collapse(s: SparkSession, d: str) -> DataFrame:
 
 def discounted_sum(s: SparkSession, d: str) -> DataFrame:
     """The discounted sum that each message starts with."""
-    return turn_tokens(s, d).select("conv_id", "turn", F.size("ls").alias("n"), F.round(F.try_element_at(T.discounted(F.col("ls"), GAMMA), F.lit(1)), 4).alias("first"))
+    return turn_tokens(s, d).select("conv_id", "turn", F.size("ls").alias("n"), F.round(T.discounted_first(F.col("ls"), GAMMA), 4).alias("first"))
 
 
 def prefix_segments(s: SparkSession, d: str) -> DataFrame:
@@ -130,8 +130,8 @@ def align(s: SparkSession, d: str) -> DataFrame:
 
 
 def kl_penalty(s: SparkSession, d: str) -> DataFrame:
-    p = T.kl_penalised(V.tokens(s, d), "lp_student", "lp_teacher", "mask", COEF)
-    return p.groupBy("conv_id").agg(r6(F.sum("penalty")).alias("penalty"), F.sum("mask").alias("n"))
+    p = T.kl_penalties(V.tokens(s, d), ["conv_id"], "lp_student", "lp_teacher", "mask", COEF)
+    return p.select("conv_id", r6("penalty").alias("penalty"), "n")
 
 
 def distill_kl(s: SparkSession, d: str) -> DataFrame:
@@ -228,7 +228,7 @@ ORACLE = {
     "dpo_metrics": f"WITH t AS (SELECT conv_id, turn, sum(lp_student) AS lp, sum(lp_teacher) AS ref FROM {V.TOKENS} WHERE mask = 1 GROUP BY conv_id, turn), p AS (SELECT conv_id, arg_min(lp - ref, turn) AS c, arg_max(lp - ref, turn) AS r FROM t GROUP BY conv_id HAVING min(turn) <> max(turn)), x AS (SELECT c, r, {BETA}::DOUBLE * (c - r) AS delta FROM p) "
     f"SELECT round(avg(CASE WHEN delta > 0 THEN ln(1 + exp(-delta)) ELSE ln(1 + exp(delta)) - delta END), 6) AS loss, round(avg((delta > 0)::INT::DOUBLE), 6) AS accuracy, round(avg({BETA}::DOUBLE * delta), 6) AS margin, round(avg({BETA}::DOUBLE * c), 6) AS chosen_reward, round(avg({BETA}::DOUBLE * r), 6) AS rejected_reward, count(*) AS n FROM x",
     "batch_tallies": f"SELECT conv_id, count(DISTINCT turn) AS num_sequences, count(*) AS num_tokens, sum(mask)::BIGINT AS num_loss_tokens FROM {V.TOKENS} GROUP BY conv_id",
-    "shift_targets": f"SELECT conv_id, turn, md5(array_to_string(t[:len(t) - 1], ' ')) AS input_md5, md5(array_to_string(t[2:], ' ')) AS target_md5, (len(t) - 1)::INT AS n FROM (SELECT conv_id, turn, toks[:64] AS t FROM ({_ORDERED}))",
+    "shift_targets": f"SELECT conv_id, turn, md5(array_to_string(t[:len(t) - 1], ' ')) AS input_md5, md5(array_to_string(t[2:], ' ')) AS target_md5, (len(t) - 1)::INT AS n FROM (SELECT conv_id, turn, toks AS t FROM ({_ORDERED}))",
     "train_on_what_weights": f"SELECT conv_id, sum(CASE WHEN last THEN k ELSE 0 END)::INT AS last_assistant, sum(CASE WHEN last OR role = 'assistant' THEN k ELSE 0 END)::INT AS all_assistant, sum(CASE WHEN last OR role IN ('user', 'system') THEN k ELSE 0 END)::INT AS all_user_system, sum(k)::INT AS all_messages FROM (SELECT conv_id, role, {_N} AS k, turn = max(turn) OVER (PARTITION BY conv_id) AS last FROM {V.MESSAGES}) GROUP BY conv_id",
     "unmask_regions": f"SELECT conv_id, md5(coalesce(string_agg(repeat(CASE WHEN role = 'assistant' THEN '1' ELSE '0' END, {_N}), '' ORDER BY turn), '')) AS mask_md5, sum({_N})::INT AS n_tokens FROM {V.MESSAGES} GROUP BY conv_id",
     "turn_collapse": f"SELECT conv_id, min(turn) AS first_turn, arg_max(content, turn) FILTER (WHERE coalesce(content, '') <> '') AS content, sum(calls)::BIGINT AS n_calls FROM (SELECT chat_id AS conv_id, i::INT AS turn, m.role AS role, m.content AS content, coalesce(len(m.tool_calls), 0) AS calls FROM (SELECT chat_id, unnest(range(len(messages))) AS i, unnest(messages) AS m FROM {V.CHATS})) WHERE role = 'assistant' GROUP BY conv_id",

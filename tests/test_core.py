@@ -317,3 +317,30 @@ def test_hash_answer_has_no_longest_line(spark):
 
     df = spark.createDataFrame([("x\n#### " + "7" * 1_200_000,), ("#### 1,234",), ("####",), ("none",)], "t string")
     assert [r[0] for r in df.select(hash_answer(df.t)).collect()] == ["7" * 1_200_000, "1234", "", None]
+
+
+# --- numbers of rows that carry more than their key ---------------------------------------------------------------------
+
+
+def test_numbers_are_dense_with_payload_and_many_input_files(spark, tmp_path):
+    n = 1_000_000
+    at = str(tmp_path / "rows")
+    spark.range(0, n, 1, 8).select(F.pmod(F.xxhash64("id"), F.lit(1 << 40)).alias("k"), "id", (F.col("id") % 3 * F.col("id") % 7).alias("g"), F.md5(F.col("id").cast("string")).alias("payload"), F.lit(1).alias("one")).write.parquet(at)
+    df = spark.read.parquet(at)
+    got = sampling.numbered(df, [F.col("k"), F.col("id")]).select("idx", "k", "payload").agg(F.countDistinct("idx"), F.min("idx"), F.max("idx"), F.count("payload")).first()
+    assert tuple(got) == (n, 0, n - 1, n)
+    within = sampling.numbered_within(df, "g", [F.col("k"), F.col("id")]).groupBy("g").agg((F.countDistinct("idx") == F.count("payload")) & (F.min("idx") == 0) & (F.max("idx") == F.count("payload") - 1)).collect()
+    assert len(within) > 3 and all(ok for _, ok in within)
+    total = sampling.running_total(df, [F.col("k"), F.col("id")], "one").agg(F.countDistinct("running"), F.min("running"), F.max("running"), F.count("payload")).first()
+    assert tuple(total) == (n, 1, n, n)
+
+
+def test_tools_encoded_six_times_over():
+    import json
+
+    from millrace.operators.nested import declared
+
+    text = json.dumps([{"name": "find"}])
+    for _ in range(6):
+        text = json.dumps(text)
+    assert declared(text) == [{"name": "find"}]
