@@ -27,12 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import keep
-from . import endings
+from ..session import fresh, keep
+from . import endings, lookups
 from .arrays import POWERS, Prefix, U, chunks, ends_of, mixed, points
 from .residue_rules import told
 from .similar import BROADCAST_IDS
-from .words import alnum
+from .words import PLANES, alnum
 
 SHINGLE, BANDS, ROWS, ALIKE = 5, 6, 2, 0.8
 #: Words of the openings that are compared; they are looked for in so many first characters.
@@ -41,8 +41,6 @@ OPENINGS, OPENING_SIZE = (6, 16, 40), 1000
 STRETCH, BEFORE = 32, (0, 32)
 #: Last characters of a cut text, which its copy holds where it goes on, at most so far from where an edit leads to expect it.
 TAIL, SHIFT = 15, 12
-#: Open texts looked up at once (112 bytes each); more are taken in several passes.
-ENDS_AT_ONCE = 1_000_000
 #: An item's last word ends so large a share of the items it is in; a name's letters so large a share of names.
 WORD_ENDS, NAME_ENDS, KNOWN = 0.1, 0.3, 5
 #: Words of the longest last line that needs no closing mark, and what such lines' counts must show.
@@ -150,15 +148,14 @@ def begins(lines: list[str], text: str, heads: tuple[set[str], set[str]] | None
 def continued(texts: DataFrame, lines: DataFrame) -> DataFrame:
     """(line, goes): in how many different texts a line begins with the line (line) and goes on."""
     spark, schema = texts.sparkSession, pa.schema([("key", pa.int64()), ("mark", pa.int64())])
-    keyed = keep(lines.select("line", F.xxhash64("line").alias("key")))
+    at = fresh(spark)
+    keyed = keep(lines.select("line", F.xxhash64("line").alias("key")), at)
     passes = -(-keyed.count() // LINES_AT_ONCE)
     met = spark.createDataFrame([], "key bigint, mark bigint")
     for i in range(passes):
-        own = sorted(tuple(r) for r in keyed.where(F.pmod("key", F.lit(passes)) == i).toLocalIterator())
-        shared = spark.sparkContext.broadcast(([x for x, _ in own], [k for _, k in own]))
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            known, keys = shared.value
+        def run(batches: Iterator[pa.RecordBatch], i=i) -> Iterator[pa.RecordBatch]:
+            known, keys = lookups.lines(at, i, passes)
             heads = heads_of(known)
             for batch in batches:
                 hits = [(keys[at], mark) for text in batch.column("text").to_pylist() if text and (got := begins(known, text, heads)) for mark in (mark_of(text),) for at in got]
@@ -236,33 +233,44 @@ def goes_on(s: str, long: str, at: int) -> bool:
     return s[-1].isalnum() and long[at].isalnum() or stop < len(long) and (long[stop].isalnum() or long[stop] in ",;")
 
 
-def sketches(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(number of openings of each text, their bands: text, opening, band). A word that may be a part of one is in no opening."""
-    lower = [t.lower() for t in (x[:OPENING_SIZE] for x in texts)]
-    x = points([t + "\n" for t in lower])
-    inside = np.zeros(len(x) + 1, np.int8)
-    inside[1:] = alnum()[x]
-    step = np.diff(inside)
-    a, b = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
-    stop = ends_of(lower) + np.arange(1, len(lower) + 1)
-    last = np.searchsorted(a, stop, "left")
-    first = np.concatenate([[0], last[:-1]]) if len(lower) else last
-    size = last - first
-    words = Prefix(x).of(a, b)
-    runs = np.zeros(len(words) + 1, U)
-    if len(words) > 2:
-        runs[: len(words) - 2] = words[2:] + U(3) * words[1:-1] + U(9) * words[:-2]
-    runs = (mixed(runs) >> U(32)).astype(np.uint32)
-    factors = np.random.default_rng(20250611).integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-    lanes = mixed(np.arange(1, BANDS * ROWS + 1, dtype=U))
-    out = np.zeros((len(texts), len(OPENINGS), BANDS), U)
-    for i, n in enumerate(OPENINGS):
-        has = np.flatnonzero(size > n)
-        if len(has):
-            bounds = np.stack([first[has], first[has] + n - 2], axis=1).ravel()
-            least = np.stack([np.minimum.reduceat(runs * k, bounds)[::2] for k in factors], axis=1).astype(U)
-            out[has, i] = mixed(mixed(least + lanes).reshape(-1, BANDS, ROWS).sum(axis=2, dtype=U) + U(n))
-    return np.searchsorted(np.array(OPENINGS), size, "left"), out
+@cache
+def lowered() -> np.ndarray:
+    """By code point: its lower case, where that is one; so places stay what they are."""
+    out = np.arange(0x110000, dtype=np.uint32)
+    out[:PLANES] = np.fromiter((ord(y) if len(y := chr(c).lower()) == 1 else c for c in range(PLANES)), np.uint32, PLANES)
+    return out
+
+
+class Sketches:
+    """Texts' words, and bands of min-hashes over runs of three of the words that a text begins with. A word that may be a part of one is in none."""
+
+    def __init__(self, texts: list[str]) -> None:
+        x = lowered()[points([t + "\n" for t in texts])]
+        inside = np.zeros(len(x) + 1, np.int8)
+        inside[1:] = alnum()[x]
+        step = np.diff(inside)
+        self.start, b = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+        stop = ends_of(texts) + np.arange(1, len(texts) + 1)
+        self.text = np.concatenate([[0], stop[:-1]])
+        self.first = np.searchsorted(self.start, self.text, "left")
+        #: Words of each text.
+        self.size = np.searchsorted(self.start, stop, "left") - self.first
+        words = Prefix(x).of(self.start, b)
+        runs = np.zeros(len(words) + 1, U)
+        if len(words) > 2:
+            runs[: len(words) - 2] = words[2:] + U(3) * words[1:-1] + U(9) * words[:-2]
+        runs = (mixed(runs) >> U(32)).astype(np.uint32)
+        # the least from a text's first run on: a later text's values are all less than an earlier one's
+        floor = np.repeat(np.arange(len(texts), 0, -1).astype(U) << U(32), np.append(self.size[:-1], self.size[-1] + 1))
+        factors = np.random.default_rng(20250611).integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+        self.least = [np.minimum.accumulate(floor + (runs * k).astype(U)) for k in factors]
+
+    def bands(self, rows: np.ndarray, n: np.ndarray, salt: int) -> np.ndarray:
+        """Of the first n words of texts, of more than two."""
+        lanes = mixed(np.arange(1, BANDS * ROWS + 1, dtype=U))
+        at = self.first[rows] + n - 3
+        least = np.stack([x[at] for x in self.least], axis=1) & U(0xFFFFFFFF)
+        return mixed(mixed(least + lanes).reshape(-1, BANDS, ROWS).sum(axis=2, dtype=U) + U(salt))
 
 
 def stretches(part: list[str]) -> np.ndarray:
@@ -290,12 +298,16 @@ def ends(texts: DataFrame) -> DataFrame:
             ids = batch.column("id").to_numpy()
             for at, part in chunks(batch):
                 own = [(i, s) for i, s in enumerate(map(stem, part)) if ends_open(s) and len(s) >= STRETCH]
-                n, bands = sketches([s for _, s in own])
-                has = np.flatnonzero(n > 0)
+                if not own:
+                    continue
+                drawn = Sketches([s[:OPENING_SIZE] for _, s in own])
+                n = drawn.size - 1
+                has = np.flatnonzero(n >= OPENINGS[0])
                 if not len(has):
                     continue
                 found = np.stack([stretches([s[len(s) - STRETCH - k : len(s) - k] if len(s) >= STRETCH + k else s[-STRETCH:] for s in (own[i][1] for i in has)])[:: STRETCH + 1] + U(k) for k in BEFORE], axis=1)
-                best = bands[has, n[has] - 1]
+                opening = np.array(OPENINGS)[np.searchsorted(np.array(OPENINGS), n[has], "right") - 1]
+                best = drawn.bands(has, opening, 0) + mixed(opening.astype(U))[:, None]
                 keys = (best[:, None, :] + found[:, :, None]).reshape(len(has), -1)
                 mine = ids[at : at + len(part)][np.array([own[i][0] for i in has], np.int64)]
                 cols = [pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel().view(np.int64))) for x in (found, keys)]
@@ -304,44 +316,39 @@ def ends(texts: DataFrame) -> DataFrame:
     return texts.select("id", "text").mapInArrow(run, "id bigint, tails array<bigint>, keys array<bigint>")
 
 
-def places(texts: DataFrame, tails: np.ndarray, keys: np.ndarray) -> DataFrame:
-    """(key, b, at): where texts may go on, by what leads there: places by one of the stretches and the bands that are among keys (both sorted)."""
+def places(texts: DataFrame, tails: str, keys: str) -> DataFrame:
+    """(key, b, at): where texts may go on, by what leads there: places by one of the stretches and the bands that are among keys (both written as lookups)."""
     schema = pa.schema([("key", pa.int64()), ("b", pa.int64()), ("at", pa.int32())])
-    shared = texts.sparkSession.sparkContext.broadcast((tails, keys))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tails, keys = (np.sort(x.view(U)) for x in shared.value)
-        maybe, maybe_key = np.zeros(1 << 22, bool), np.zeros(1 << 24, bool)
-        maybe[(tails >> U(42)).astype(np.int64)] = True
-        maybe_key[(keys >> U(40)).astype(np.int64)] = True
+        known, wanted = lookups.values(tails), lookups.values(keys)
         for batch in batches:
             ids = batch.column("id").to_numpy()
             for at, part in chunks(batch, most=1 << 15):
                 h = stretches(part)
                 size = np.array([len(t) for t in part], np.int64)
                 stop = np.cumsum(size + 1)
-                n, bands = None, None
+                hits = []
                 for k in BEFORE:
                     own = h + U(k) if k else h
-                    hit = np.flatnonzero(maybe[(own >> U(42)).astype(np.int64)])
-                    own = own[hit]
-                    same = tails[np.minimum(np.searchsorted(tails, own), len(tails) - 1)] == own
-                    hit, own = hit[same], own[same]
+                    hit = known.among(own)
                     row = np.searchsorted(stop, hit, "right")
                     place = hit + STRETCH + k - (stop[row] - size[row] - 1)
                     ok = (place < size[row]) if not k else (place != size[row]) & (place - SHIFT < size[row])
-                    row, place, own = row[ok], place[ok], own[ok]
-                    if not len(row):
-                        continue
-                    if n is None:
-                        n, bands = sketches(part)
-                    made = bands[row].reshape(len(row), -1) + own[:, None]
-                    valid = np.repeat(np.arange(len(OPENINGS))[None, :] < n[row][:, None], BANDS, axis=1)
-                    i, j = np.nonzero(valid & maybe_key[(made >> U(40)).astype(np.int64)])
-                    key = made[i, j]
-                    same = keys[np.minimum(np.searchsorted(keys, key), len(keys) - 1)] == key
-                    i, key = i[same], key[same]
-                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(ids[at : at + len(part)][row[i]], pa.int64()), pa.array(place[i].astype(np.int32))], schema=schema)
+                    hits.append((row[ok], place[ok], own[hit[ok]]))
+                row, place, own = (np.concatenate(x) for x in zip(*hits))
+                if not len(row):
+                    continue
+                met, local = np.unique(row, return_inverse=True)
+                drawn = Sketches([part[i][:OPENING_SIZE] for i in met])
+                for n in OPENINGS:
+                    words = np.full(len(row), n)
+                    has = np.flatnonzero(words < drawn.size[local])
+                    made = drawn.bands(local[has], words[has], 0) + mixed(words[has].astype(U))[:, None]
+                    made = made + own[has][:, None]
+                    here = wanted.among(made.ravel())
+                    i = has[here // BANDS]
+                    yield pa.RecordBatch.from_arrays([pa.array(made.ravel()[here].view(np.int64)), pa.array(ids[at : at + len(part)][row[i]], pa.int64()), pa.array(place[i].astype(np.int32))], schema=schema)
 
     return texts.select("id", "text").mapInArrow(run, "key bigint, b bigint, at int")
 
@@ -386,16 +393,11 @@ def early_copies(texts: DataFrame) -> DataFrame:
     An open text is first held against one text of each of its keys, which is linear, and only if none of these goes on, against all of them.
     """
     opened = keep(ends(texts))
-    passes = max(1, -(-opened.count() // ENDS_AT_ONCE))
-    met = None
-    for i in range(passes):
-        rows = opened.where(F.pmod(F.col("tails")[0], F.lit(passes)) == i)
-        got = [(r[0], r[1]) for r in rows.select("tails", "keys").toLocalIterator()]
-        if got:
-            now = places(texts, *(np.unique(np.array([x for g in got for x in g[k]], np.int64).view(U)).view(np.int64) for k in (0, 1)))
-            met = now if met is None else met.union(now)
-    if met is None:
+    n = opened.count()
+    if not n:
         return opened.select("id")
+    tails, keys = (lookups.written(opened.select(F.explode(c)), n * each) for c, each in (("tails", len(BEFORE)), ("keys", len(BEFORE) * BANDS)))
+    met = places(texts, tails, keys)
     met, posted = keep(met), opened.select(F.col("id").alias("a"), F.explode("keys").alias("key"))
     one = met.groupBy("key").agg(F.max(F.struct("b", "at")).alias("m"), F.min(F.struct("b", "at")).alias("l"))
     one = posted.join(one, "key").select("a", F.explode(F.array("m", "l")).alias("m")).select("a", "m.b", "m.at").where("a <> b").distinct()

@@ -18,22 +18,26 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.unionByName(c.select(F.lit("chats").alias("tab"), "source", F.col("chat_id").alias("rec_id"), "msg_pos", F.col("m.role").alias("role"), F.col("m.content").alias("text")))
 
 
+def marked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """texts() with their ids, written once: what finds the last deliveries is broadcast for that, not for each pass over the texts."""
+    return keep(texts(spark, sf_dir).withColumn("id", F.xxhash64("tab", "rec_id", "msg_pos")))
+
+
 def found(every: DataFrame) -> DataFrame:
-    marked = every.withColumn("id", F.xxhash64("tab", "rec_id", "msg_pos"))
-    return keep(cut_texts(marked.select("id", "role", "text")))
+    return keep(cut_texts(every.select("id", "role", "text")))
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    every = texts(spark, sf_dir)
-    return every.select("tab", "rec_id", "msg_pos", F.xxhash64("tab", "rec_id", "msg_pos").alias("id")).join(found(every), "id", "left_semi").drop("id")
+    every = marked(spark, sf_dir)
+    return every.select("tab", "rec_id", "msg_pos", "id").join(found(every), "id", "left_semi").drop("id")
 
 
 def p1_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For each source the share of its texts that are cut; blank texts don't count."""
-    every = texts(spark, sf_dir)
+    every = marked(spark, sf_dir)
     cut = found(every).withColumn("cut", F.lit(1))
-    marked = every.where(F.col("text").rlike(r"\S")).select("source", F.xxhash64("tab", "rec_id", "msg_pos").alias("id")).join(cut, "id", "left")
-    return marked.groupBy("source").agg(F.count(F.lit(1)).alias("n_texts"), F.count("cut").alias("n_cut"), F.round(F.count("cut") / F.count(F.lit(1)), 6).alias("share"))
+    own = every.where(F.col("text").rlike(r"\S")).select("source", "id").join(cut, "id", "left")
+    return own.groupBy("source").agg(F.count(F.lit(1)).alias("n_texts"), F.count("cut").alias("n_cut"), F.round(F.count("cut") / F.count(F.lit(1)), 6).alias("share"))
 
 
 QUERIES = {"p1_found": p1_found, "p1_sources": p1_sources}

@@ -74,12 +74,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def keep(df: DataFrame) -> DataFrame:
-    """Cuts lineage through a written table in the shared folder: columnar and compressed, so smaller than a checkpoint. Removed at exit."""
-    spark = df.sparkSession
-    at = f"{shared_dir(spark)}/millrace-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(at)
+def fresh(spark: SparkSession) -> str:
+    """The URI of a new folder within the shared one; removed at exit."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/millrace-{uuid.uuid4().hex}")
+    at = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
     atexit.register(_remove, spark, at)
+    return at
+
+
+def keep(df: DataFrame, at: str | None = None) -> DataFrame:
+    """Cuts lineage through a written table in the shared folder (at: one of its fresh folders): columnar and compressed, so smaller than a checkpoint. Removed at exit."""
+    spark, at = df.sparkSession, at or fresh(df.sparkSession)
+    df.write.option("compression", "zstd").parquet(at)
     return spark.read.schema(df.schema).parquet(at)
 
 

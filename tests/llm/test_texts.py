@@ -8,7 +8,7 @@ import unicodedata
 
 import pytest
 
-from millrace.llm import cuts, defects, leaks, packing, residue, similar, spans
+from millrace.llm import cuts, defects, leaks, lookups, packing, residue, similar, spans
 from millrace.llm.components import buckets, components
 from millrace.llm.endings import judge
 from millrace.llm.residue_rules import labels
@@ -107,6 +107,31 @@ def test_cut_copies_are_found_beside_a_longer_variant_and_deep_cuts(spark):
     assert len(want) > 12 and got == want
 
 
+def test_lookups_hold_what_was_written(spark, monkeypatch):
+    for name, x in (("PART", 64), ("LEAST", 4), ("MOST", 12)):
+        monkeypatch.setattr(lookups, name, x)
+    rng = random.Random(3)
+    own = [rng.randrange(-(1 << 63), 1 << 63) for _ in range(1000)] + [-1, 0, 1, (1 << 63) - 1, -(1 << 63)]
+    known = lookups.Values(lookups.written(spark.createDataFrame([(x,) for x in own * 2] + [(None,)], "x bigint"), 1000))
+    asked = own + [rng.randrange(-(1 << 63), 1 << 63) for _ in range(5000)] + [x + 1 for x in own[:1000]]
+    got = known.among(cuts.np.array(asked, cuts.np.int64).view(cuts.U))
+    assert len(known.parts) > 10 and not known.flat and got.tolist() == [i for i, x in enumerate(asked) if x in set(own)]
+
+
+def test_the_driver_holds_no_ends_and_no_lines(spark, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("read to the driver")
+
+    rng = random.Random(15)
+    whole = [text(rng, 60) + "." for _ in range(10)]
+    data = [(i, "assistant", t) for i, t in enumerate(whole)] + [(100 + i, "assistant", f"{t[:200]}") for i, t in enumerate(whole)] + [(200 + i, "assistant", f"{t}\nMost of the {i}") for i, t in enumerate(whole)]
+    df = spark.createDataFrame(data, "id bigint, role string, text string")
+    for kind, name in ((type(df), "toLocalIterator"), (type(spark.sparkContext), "broadcast")):
+        monkeypatch.setattr(kind, name, refuse)
+    got = {r[0] for r in cuts.cut_texts(df).collect()}
+    assert {100 + i for i, t in enumerate(whole) if cuts.ends_open(t[:200]) and cuts.goes_on(t[:200], t, 200)} <= got and not got & set(range(10))
+
+
 # --- 2: near-equal records --------------------------------------------------------------------------------------------
 
 
