@@ -1,10 +1,10 @@
 """Texts cut off by field limits or mid-transfer.
 
-1. Near-copies: what a cut copy keeps is its opening and its last characters. Openings of 6, 16 and 40 words have bands of min-hashes over
-   runs of three words; an open text has those of the longest opening it has, every text all of its own. Two stretches of 32
-   characters before an open text's end are looked up at all places of all texts, and a place is met where a band of the openings agrees
-   too, so a copy is met however much longer it is. A pair is aligned there and verified on all words up to the place: if the
-   longer goes on inside the word or sentence, the shorter was cut.
+1. Near-copies: what a cut copy keeps is all that comes before its end. Openings of 6, 16 and 40 words, and all words up to a place, have
+   bands of min-hashes over runs of three words; an open text has those of the longest opening it has and of all its words. Two
+   stretches of 32 characters before an open text's end are looked up at all places of all texts, and a place is met where a band of the
+   openings or of all words before it agrees too, so a copy is met however much longer it is and wherever it differs. A pair is aligned
+   there and verified on all words up to the place: if the longer goes on inside the word or sentence, the shorter was cut.
 2. The others are scored by how terminal their closing words are. Marks, fences and JSON decide most; an open list item is judged by
    how often its last word ends an item in all texts, an open last line by how often such a line (names and
    numbers alike) ends a text and in how many texts a line begins with it and goes on, be it inside its last word, and any open end by whether its length is one that texts were cut to.
@@ -35,8 +35,8 @@ from .similar import BROADCAST_IDS
 from .words import PLANES, alnum
 
 SHINGLE, BANDS, ROWS, ALIKE = 5, 6, 2, 0.8
-#: Words of the openings that are compared; they are looked for in so many first characters.
-OPENINGS, OPENING_SIZE = (6, 16, 40), 1000
+#: Words of the openings that are compared, and the salt of what is compared besides: all words up to a place.
+OPENINGS, WHOLE = (6, 16, 40), 1
 #: Characters looked up in other texts, and how far from the end they stop: an edit in one stretch leaves the other.
 STRETCH, BEFORE = 32, (0, 32)
 #: Last characters of a cut text, which its copy holds where it goes on, at most so far from where an edit leads to expect it.
@@ -242,7 +242,7 @@ def lowered() -> np.ndarray:
 
 
 class Sketches:
-    """Texts' words, and bands of min-hashes over runs of three of the words that a text begins with. A word that may be a part of one is in none."""
+    """Texts' words, and bands of min-hashes over runs of three of the words that a text, or a text up to a place, begins with. A word that may be a part of one is in none."""
 
     def __init__(self, texts: list[str]) -> None:
         x = lowered()[points([t + "\n" for t in texts])]
@@ -272,6 +272,10 @@ class Sketches:
         least = np.stack([x[at] for x in self.least], axis=1) & U(0xFFFFFFFF)
         return mixed(mixed(least + lanes).reshape(-1, BANDS, ROWS).sum(axis=2, dtype=U) + U(salt))
 
+    def before(self, rows: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Numbers of the words of texts up to places, without the last."""
+        return np.minimum(np.searchsorted(self.start, self.text[rows] + places, "left") - self.first[rows], self.size[rows]) - 1
+
 
 def stretches(part: list[str]) -> np.ndarray:
     """Hashes of all stretches of texts that are joined by line ends: polynomials of mixed characters, whose high bits are mixed enough."""
@@ -300,7 +304,7 @@ def ends(texts: DataFrame) -> DataFrame:
                 own = [(i, s) for i, s in enumerate(map(stem, part)) if ends_open(s) and len(s) >= STRETCH]
                 if not own:
                     continue
-                drawn = Sketches([s[:OPENING_SIZE] for _, s in own])
+                drawn = Sketches([s for _, s in own])
                 n = drawn.size - 1
                 has = np.flatnonzero(n >= OPENINGS[0])
                 if not len(has):
@@ -308,7 +312,7 @@ def ends(texts: DataFrame) -> DataFrame:
                 found = np.stack([stretches([s[len(s) - STRETCH - k : len(s) - k] if len(s) >= STRETCH + k else s[-STRETCH:] for s in (own[i][1] for i in has)])[:: STRETCH + 1] + U(k) for k in BEFORE], axis=1)
                 opening = np.array(OPENINGS)[np.searchsorted(np.array(OPENINGS), n[has], "right") - 1]
                 best = drawn.bands(has, opening, 0) + mixed(opening.astype(U))[:, None]
-                keys = (best[:, None, :] + found[:, :, None]).reshape(len(has), -1)
+                keys = (np.concatenate([best, drawn.bands(has, n[has], WHOLE)], axis=1)[:, None, :] + found[:, :, None]).reshape(len(has), -1)
                 mine = ids[at : at + len(part)][np.array([own[i][0] for i in has], np.int64)]
                 cols = [pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel().view(np.int64))) for x in (found, keys)]
                 yield pa.RecordBatch.from_arrays([pa.array(mine, pa.int64()), *cols], schema=schema)
@@ -340,11 +344,11 @@ def places(texts: DataFrame, tails: str, keys: str) -> DataFrame:
                 if not len(row):
                     continue
                 met, local = np.unique(row, return_inverse=True)
-                drawn = Sketches([part[i][:OPENING_SIZE] for i in met])
-                for n in OPENINGS:
-                    words = np.full(len(row), n)
-                    has = np.flatnonzero(words < drawn.size[local])
-                    made = drawn.bands(local[has], words[has], 0) + mixed(words[has].astype(U))[:, None]
+                drawn = Sketches([part[i] for i in met])
+                for n in (*OPENINGS, None):
+                    words = drawn.before(local, place) if n is None else np.full(len(row), n)
+                    has = np.flatnonzero((words >= OPENINGS[0]) & (words < drawn.size[local]))
+                    made = drawn.bands(local[has], words[has], WHOLE) if n is None else drawn.bands(local[has], words[has], 0) + mixed(words[has].astype(U))[:, None]
                     made = made + own[has][:, None]
                     here = wanted.among(made.ravel())
                     i = has[here // BANDS]
@@ -396,7 +400,7 @@ def early_copies(texts: DataFrame) -> DataFrame:
     n = opened.count()
     if not n:
         return opened.select("id")
-    tails, keys = (lookups.written(opened.select(F.explode(c)), n * each) for c, each in (("tails", len(BEFORE)), ("keys", len(BEFORE) * BANDS)))
+    tails, keys = (lookups.written(opened.select(F.explode(c)), n * each) for c, each in (("tails", len(BEFORE)), ("keys", len(BEFORE) * 2 * BANDS)))
     met = places(texts, tails, keys)
     met, posted = keep(met), opened.select(F.col("id").alias("a"), F.explode("keys").alias("key"))
     one = met.groupBy("key").agg(F.max(F.struct("b", "at")).alias("m"), F.min(F.struct("b", "at")).alias("l"))

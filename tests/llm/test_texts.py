@@ -107,6 +107,32 @@ def test_cut_copies_are_found_beside_a_longer_variant_and_deep_cuts(spark):
     assert len(want) > 12 and got == want
 
 
+def test_cut_copies_are_found_whatever_they_begin_with(spark):
+    rng = random.Random(16)
+    whole = [text(rng, 600).split() for _ in range(12)]
+    # another beginning, of forty words; a beginning without words for 1 200 characters
+    data = [(i, " ".join(w) + ".") for i, w in enumerate(whole[:6])] + [(100 + i, " ".join(text(rng, 40).split() + w[40:500])) for i, w in enumerate(whole[:6])]
+    blob = ["".join(rng.choice("0123456789abcdef") for _ in range(1200)) for _ in range(6)]
+    data += [(10 + i, f"{b} {' '.join(w)}.") for i, (b, w) in enumerate(zip(blob, whole[6:]))] + [(110 + i, f"{b} {' '.join(w[:50])}") for i, (b, w) in enumerate(zip(blob, whole[6:]))]
+    got = {r[0] for r in cuts.early_copies(spark.createDataFrame(data, "id bigint, text string")).collect()}
+    assert got == {*range(100, 106), *range(110, 116)}
+
+
+def test_sketches_of_words_before_a_place():
+    rng = random.Random(17)
+    texts = [text(rng, rng.randrange(8, 60)) for _ in range(20)] + ["", "İÇ Straße ÉTÉ " * 5]
+    all_ = cuts.Sketches(texts)
+    for i, t in enumerate(texts):
+        for at in range(40, len(t), 7):
+            # a text cut there has the same bands
+            own = cuts.Sketches(["x y z", t[:at]])
+            n = own.size[1] - 1
+            rows = cuts.np.array([i])
+            assert all_.before(rows, cuts.np.array([at]))[0] == n
+            if n > 2:
+                assert (all_.bands(rows, cuts.np.array([n]), 1) == own.bands(cuts.np.array([1]), cuts.np.array([n]), 1)).all()
+
+
 def test_lookups_hold_what_was_written(spark, monkeypatch):
     for name, x in (("PART", 64), ("LEAST", 4), ("MOST", 12)):
         monkeypatch.setattr(lookups, name, x)
