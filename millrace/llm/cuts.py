@@ -39,6 +39,8 @@ SHINGLE, BANDS, ROWS, ALIKE = 5, 6, 2, 0.8
 OPENINGS, WHOLE = (6, 16, 40), 1
 #: Characters looked up in other texts, and how far from the end they stop: an edit in one stretch leaves the other.
 STRETCH, BEFORE = 32, (0, 32)
+#: Ids of texts in pairs that are broadcast (some 100 bytes each in the driver); more are looked up, and their texts written.
+PAIRED = 250_000
 #: Last characters of a cut text, which its copy holds where it goes on, at most so far from where an edit leads to expect it.
 TAIL, SHIFT = 15, 12
 #: An item's last word ends so large a share of the items it is in; a name's letters so large a share of names.
@@ -381,7 +383,17 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """(id): the a of those pairs (a, b, at) that hold."""
     pairs = keep(pairs)
     ids = keep(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-    own = texts.join(F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids, "id", "left_semi").select("id", "text")
+    n = ids.count()
+    if n <= PAIRED:
+        own = texts.join(F.broadcast(ids), "id", "left_semi").select("id", "text")
+    else:
+        at = lookups.written(ids, n)
+
+        def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.take(pa.array(lookups.values(at).among(batch.column("id").to_numpy().view(U))))
+
+        own = keep(texts.select("id", "text").mapInArrow(wanted, "id bigint, text string"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:

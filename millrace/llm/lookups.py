@@ -54,7 +54,7 @@ class Values:
 
     def __init__(self, at: str) -> None:
         system, folder = place(at)
-        names = sorted(x.path for x in system.get_file_info(fs.FileSelector(folder)) if x.base_name.isdigit())
+        names = sorted(x.path for x in system.get_file_info(fs.FileSelector(folder, allow_not_found=True)) if x.base_name.isdigit())
         local = isinstance(system, fs.LocalFileSystem)
         self.parts = [np.memmap(x, U, "r") if local else np.frombuffer(system.open_input_file(x).read(), U) for x in names]
         self.firsts = np.array([x[0] for x in self.parts], U)

@@ -154,6 +154,8 @@ def test_the_driver_holds_no_ends_and_no_lines(spark, monkeypatch):
     df = spark.createDataFrame(data, "id bigint, role string, text string")
     for kind, name in ((type(df), "toLocalIterator"), (type(spark.sparkContext), "broadcast")):
         monkeypatch.setattr(kind, name, refuse)
+    monkeypatch.setattr(cuts, "PAIRED", -1)
+    monkeypatch.setattr(cuts.F, "broadcast", refuse)
     got = {r[0] for r in cuts.cut_texts(df).collect()}
     assert {100 + i for i, t in enumerate(whole) if cuts.ends_open(t[:200]) and cuts.goes_on(t[:200], t, 200)} <= got and not got & set(range(10))
 
