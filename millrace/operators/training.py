@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -163,3 +168,35 @@ def aligned(left: DataFrame, right: DataFrame, key: list[str], lp_left: str, lp_
     common = x.select(*key, "stop").join(y.select(*key, "stop"), [*key, "stop"]).distinct().withColumn("_c", F.lit(1))
     both = grouped(x, "n_left", "sum_left").join(grouped(y, "n_right", "sum_right"), [*key, "group"])
     return both.select(*key, F.col("group").alias("stop"), "n_left", "n_right", (F.col("sum_left") - F.col("sum_right")).alias("delta"))
+
+
+def aligned_within(df: DataFrame, key: list[str], n_left: str, lp_left: str, n_right: str, lp_right: str) -> DataFrame:
+    """The groups of `aligned` where both cuttings are in one row, as arrays of the pieces' lengths and of their log-probabilities: one pass, no piece is shuffled."""
+    fields = [(f.name, f.dataType.simpleString()) for f in df.select(*key).schema.fields]
+    columns = [*key, n_left, lp_left, n_right, lp_right]
+
+    def ended(n: pa.Array, lp: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(row and running length, in one number; log-probability) of the pieces that aren't empty."""
+        size = pc.fill_null(pc.list_value_length(n), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        row, total = np.repeat(np.arange(len(size)), size), np.concatenate([[0], np.cumsum(n.flatten().to_numpy(zero_copy_only=False), dtype=np.int64)])
+        first = total[np.cumsum(size) - size]
+        some = np.diff(total) > 0
+        return ((row << 32) + total[1:] - first[row])[some], lp.flatten().to_numpy(zero_copy_only=False)[some]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            (x, lx), (y, ly) = (ended(batch.column(n), batch.column(lp)) for n, lp in ((n_left, lp_left), (n_right, lp_right)))
+            common = np.intersect1d(x, y, assume_unique=True)
+            sums = []
+            for own, lp in ((x, lx), (y, ly)):
+                at = np.searchsorted(common, own)
+                inside = np.flatnonzero(at < len(common))
+                inside = inside[common[at[inside]] >> 32 == own[inside] >> 32]
+                sums.append((np.bincount(at[inside], minlength=len(common)), np.bincount(at[inside], weights=lp[inside], minlength=len(common))))
+            (nx, sx), (ny, sy) = sums
+            row = pa.array(common >> 32)
+            out = [*(batch.column(c).take(row) for c in key), pa.array(common & 0xFFFFFFFF), pa.array(nx.astype(np.int64)), pa.array(ny.astype(np.int64)), pa.array(sx - sy)]
+            yield pa.RecordBatch.from_arrays(out, names=[*key, "stop", "n_left", "n_right", "delta"])
+
+    schema = ", ".join(f"`{c}` {t}" for c, t in [*fields, ("stop", "bigint"), ("n_left", "bigint"), ("n_right", "bigint"), ("delta", "double")])
+    return df.select(*columns).mapInArrow(run, schema)

@@ -199,6 +199,33 @@ def test_alignment_matches_two_pointers(spark, pieces, width):
     assert [(r.n_left, r.n_right) for r in got] == want
 
 
+def test_alignment_within_rows_is_that_of_pieces(spark):
+    rng = random.Random(9)
+    cuttings = [(40, [], [2])]
+    for k in range(40):
+        n = rng.randrange(1, 60)
+        # every third right side is of a shorter text: what follows the last common end is in no group
+        ends = [sorted({*rng.sample(range(1, n + 1), min(n, 8))} | last) for last in ({n}, {n} if k % 3 else set())]
+        cuttings.append((k, *[[y - x for x, y in zip([0, *e], e)] for e in ends]))
+    lp = lambda k, i: -((k * 7 + i * 13) % 100) / 4.0
+    sides = [spark.createDataFrame([(c[0], i, "x" * n, lp(c[0] + j, i)) for c in cuttings for i, n in enumerate(c[1 + j])], "k int, pos int, piece string, lp double") for j in range(2)]
+    arrays = spark.createDataFrame([(k, x, [lp(k, i) for i in range(len(x))], y, [lp(k + 1, i) for i in range(len(y))]) for k, x, y in cuttings] + [(41, None, None, [1], [-1.0]), (42, [2, 0], [-1.0, -2.0], [0, 2], [-3.0, -4.0])], "k int, nx array<int>, x array<double>, ny array<int>, y array<double>")
+    got = rows(training.aligned_within(arrays.repartition(3), ["k"], "nx", "x", "ny", "y"))
+    # pieces of no length are in no group
+    assert got == rows(training.aligned(*sides, ["k"], "lp", "lp")) | {(42, 2, 1, 1, 3.0)} and len(got) > 60
+
+
+def test_alignment_shuffles_no_pieces(spark, tmp_path):
+    from millrace.plans.training import QUERIES
+
+    said = [("a", "s", [msg("user", "hi"), msg("assistant", "one two\n three ")], 1)]
+    spark.createDataFrame(said, f"chat_id string, source string, messages array<{MESSAGE}>, ingested_at int").write.parquet(f"{tmp_path}/chats.parquet")
+    df = QUERIES["align_groups_kl"](spark, str(tmp_path))
+    assert [(r.conv_id, r.n_groups, r.n_left, r.n_right) for r in df.collect()] == [("a", 1, 3, 5)]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Window" not in plan and "SortMergeJoin" not in plan
+
+
 # --- text -------------------------------------------------------------------------------------------------------------
 
 
