@@ -3,8 +3,9 @@
 1. Near-copies: what a cut copy keeps is all that comes before its end. Openings of 6, 16 and 40 words, and all words up to a place, have
    bands of min-hashes over runs of three words; an open text has those of the longest opening it has and of all its words. Two
    stretches of 32 characters before an open text's end are looked up at all places of all texts, and a place is met where a band of the
-   openings or of all words before it agrees too, so a copy is met however much longer it is and wherever it differs. A pair is aligned
-   there and verified on all words up to the place: if the longer goes on inside the word or sentence, the shorter was cut.
+   openings or of all words before it agrees too, so a copy is met however much longer it is and wherever it differs. Only a place where
+   the longer goes on inside the word or sentence, after the last characters of the shorter, is written, and of places that the same
+   words come before only the first and last text. Pairs that sizes and bitmaps of shingles leave are verified on all words up to the place.
 2. The others are scored by how terminal their closing words are. Marks, fences and JSON decide most; an open list item is judged by
    how often its last word ends an item in all texts, an open last line by how often such a line (names and
    numbers alike) ends a text and in how many texts a line begins with it and goes on, be it inside its last word, and any open end by whether its length is one that texts were cut to.
@@ -15,6 +16,7 @@ All counts are over all texts, pre-aggregated before they are shuffled.
 from __future__ import annotations
 
 import re
+import zlib
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
@@ -24,7 +26,7 @@ from hashlib import blake2b
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import fresh, keep
@@ -43,6 +45,8 @@ STRETCH, BEFORE = 32, (0, 32)
 PAIRED = 250_000
 #: Last characters of a cut text, which its copy holds where it goes on, at most so far from where an edit leads to expect it.
 TAIL, SHIFT = 15, 12
+#: Words of 64 bits of a bitmap of shingles.
+BITMAP = 8
 #: An item's last word ends so large a share of the items it is in; a name's letters so large a share of names.
 WORD_ENDS, NAME_ENDS, KNOWN = 0.1, 0.3, 5
 #: Words of the longest last line that needs no closing mark, and what such lines' counts must show.
@@ -279,14 +283,31 @@ class Sketches:
         return np.minimum(np.searchsorted(self.start, self.text[rows] + places, "left") - self.first[rows], self.size[rows]) - 1
 
 
-def stretches(part: list[str]) -> np.ndarray:
-    """Hashes of all stretches of texts that are joined by line ends: polynomials of mixed characters, whose high bits are mixed enough."""
-    x = points([t + "\n" for t in part])
-    up, down = POWERS.to(len(x) + 1)
-    sums = np.zeros(len(x) + 1, U)
-    np.cumsum(mixed_points()[x] * up[: len(x)], out=sums[1:])
-    n = max(0, len(sums) - STRETCH)
-    return (sums[STRETCH:] - sums[:n]) * down[:n]
+class Stretches:
+    """Hashes of stretches of texts that are joined by line ends: polynomials of mixed characters, whose high bits are mixed enough."""
+
+    def __init__(self, part: list[str]) -> None:
+        self.points = points([t + "\n" for t in part])
+        n = len(self.points)
+        up, self.down = POWERS.to(n + 1)
+        self.sums = np.zeros(n + 1, U)
+        np.cumsum(mixed_points()[self.points] * up[:n], out=self.sums[1:])
+
+    def every(self, width: int = STRETCH) -> np.ndarray:
+        """Of all of one width, by start."""
+        n = max(0, len(self.sums) - width)
+        return (self.sums[width:] - self.sums[:n]) * self.down[:n]
+
+    def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        return (self.sums[stop] - self.sums[start]) * self.down[start]
+
+    def go_on(self, at: np.ndarray) -> np.ndarray:
+        """goes_on() of what stands before places that are inside texts or at their ends."""
+        x, stop = self.points, at.copy()
+        while len(blank := np.flatnonzero(x[stop] == 32)):
+            stop[blank] += 1
+        after = x[stop]
+        return alnum()[x[at - 1]] & alnum()[x[at]] | alnum()[after] | (after == 44) | (after == 59)
 
 
 @cache
@@ -295,9 +316,9 @@ def mixed_points() -> np.ndarray:
 
 
 def ends(texts: DataFrame) -> DataFrame:
-    """(id, tails, keys) of the texts that end open: their stretches, and these with the bands of their longest opening."""
+    """(id, tails, marks, keys) of the texts that end open: their stretches, these by where they stand and with the last characters, and with the bands of their longest opening and of all words too."""
     many = pa.list_(pa.int64())
-    schema = pa.schema([("id", pa.int64()), ("tails", many), ("keys", many)])
+    schema = pa.schema([("id", pa.int64()), ("tails", many), ("marks", many), ("keys", many)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -311,52 +332,110 @@ def ends(texts: DataFrame) -> DataFrame:
                 has = np.flatnonzero(n >= OPENINGS[0])
                 if not len(has):
                     continue
-                found = np.stack([stretches([s[len(s) - STRETCH - k : len(s) - k] if len(s) >= STRETCH + k else s[-STRETCH:] for s in (own[i][1] for i in has)])[:: STRETCH + 1] + U(k) for k in BEFORE], axis=1)
+                found = np.stack([Stretches([s[len(s) - STRETCH - k : len(s) - k] if len(s) >= STRETCH + k else s[-STRETCH:] for s in (own[i][1] for i in has)]).every()[:: STRETCH + 1] for k in BEFORE], axis=1)
+                placed = found + np.array(BEFORE, U) + U(1)
+                ending = placed + mixed(Stretches([own[i][1][-TAIL:] for i in has]).every(TAIL)[:: TAIL + 1])[:, None]
                 opening = np.array(OPENINGS)[np.searchsorted(np.array(OPENINGS), n[has], "right") - 1]
                 best = drawn.bands(has, opening, 0) + mixed(opening.astype(U))[:, None]
-                keys = (np.concatenate([best, drawn.bands(has, n[has], WHOLE)], axis=1)[:, None, :] + found[:, :, None]).reshape(len(has), -1)
+                keys = (np.concatenate([best, drawn.bands(has, n[has], WHOLE)], axis=1)[:, None, :] + ending[:, :, None]).reshape(len(has), -1)
                 mine = ids[at : at + len(part)][np.array([own[i][0] for i in has], np.int64)]
-                cols = [pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel().view(np.int64))) for x in (found, keys)]
+                cols = [pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel().view(np.int64))) for x in (found, np.concatenate([placed, ending], axis=1), keys)]
                 yield pa.RecordBatch.from_arrays([pa.array(mine, pa.int64()), *cols], schema=schema)
 
-    return texts.select("id", "text").mapInArrow(run, "id bigint, tails array<bigint>, keys array<bigint>")
+    return texts.select("id", "text").mapInArrow(run, "id bigint, tails array<bigint>, marks array<bigint>, keys array<bigint>")
+
+
+#: The places near one, the nearest first, as where_it_goes_on() takes them.
+NEAR = np.array(sorted(range(-SHIFT, SHIFT + 1), key=abs))
+
+
+def going_on(x: Stretches, wanted: lookups.Values, own: np.ndarray, place: np.ndarray, start: np.ndarray, size: np.ndarray, exact: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(index of the hit, place, hash) where texts (of a start and size) go on near the places of hits, after last characters that are wanted with the hit's stretch (own); exact: these stand at the hit itself."""
+    near = place[:, None] + NEAR
+    hit, n = np.nonzero((near >= TAIL) & (near < size[:, None]))
+    to = near[hit, n]
+    g = start[hit] + to
+    ok = np.flatnonzero(x.points[g - 1] == x.points[(start + place)[hit] - 1]) if exact else slice(None)
+    hit, to, g = hit[ok], to[ok], g[ok]
+    ok = x.go_on(g)
+    hit, to, g = hit[ok], to[ok], g[ok]
+    made = own[hit] + mixed(x.of(g - TAIL, g))
+    ok = wanted.among(made)
+    hit, to, made = hit[ok], to[ok], made[ok]
+    # np.nonzero goes by hits and then from the nearest place on: the first of each hash is taken
+    first = np.sort(np.unique(mixed(made + hit.astype(U)), return_index=True)[1])
+    return hit[first], to[first], made[first]
+
+
+def shingled(s: str) -> tuple[int, list[int]]:
+    """The number of the shingles that ends_early() compares, and a bitmap of them: a bit set here only stands for a shingle at least that is only here."""
+    words = np.array([zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in s.lower().split()], U)
+    runs = np.zeros(max(0, len(words) - SHINGLE + 1), U)
+    for k in range(SHINGLE):
+        runs = mixed(runs + words[k : k + len(runs)])
+    runs = np.unique(runs)
+    bits = np.zeros(BITMAP * 64, np.uint8)
+    bits[(runs % U(BITMAP * 64)).astype(np.int64)] = 1
+    return len(runs), np.packbits(bits).view(np.int64).tolist()
+
+
+_BITS = [f"w{i}" for i in range(BITMAP)]
 
 
 def places(texts: DataFrame, tails: str, keys: str) -> DataFrame:
-    """(key, b, at): where texts may go on, by what leads there: places by one of the stretches and the bands that are among keys (both written as lookups)."""
-    schema = pa.schema([("key", pa.int64()), ("b", pa.int64()), ("at", pa.int32())])
+    """(key, b, at, same, n, w0, ...): where texts go on, by what leads there: places by one of the stretches, the characters before and the bands, the latter among keys (both written as lookups).
+
+    Equal texts up to a place have the same `same`; n and w0, ... are their shingled().
+    """
+    schema = pa.schema([("key", pa.int64()), ("b", pa.int64()), ("at", pa.int32()), ("same", pa.int64()), ("n", pa.int32()), *((w, pa.int64()) for w in _BITS)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, wanted = lookups.values(tails), lookups.values(keys)
         for batch in batches:
             ids = batch.column("id").to_numpy()
-            for at, part in chunks(batch, most=1 << 15):
-                h = stretches(part)
+            for first, part in chunks(batch, most=1 << 15):
+                x = Stretches(part)
+                h = x.every()
+                some = known.among(h)
+                h = h[some]
                 size = np.array([len(t) for t in part], np.int64)
                 stop = np.cumsum(size + 1)
+                start = stop - size - 1
                 hits = []
                 for k in BEFORE:
-                    own = h + U(k) if k else h
-                    hit = known.among(own)
+                    own = h + U(k + 1)
+                    ok = wanted.among(own)
+                    own, hit = own[ok], some[ok]
                     row = np.searchsorted(stop, hit, "right")
-                    place = hit + STRETCH + k - (stop[row] - size[row] - 1)
+                    place = hit + STRETCH + k - start[row]
                     ok = (place < size[row]) if not k else (place != size[row]) & (place - SHIFT < size[row])
-                    hits.append((row[ok], place[ok], own[hit[ok]]))
-                row, place, own = (np.concatenate(x) for x in zip(*hits))
+                    row, place = row[ok], place[ok]
+                    on, to, made = going_on(x, wanted, own[ok], place, start[row], size[row], not k)
+                    hits.append((row[on], place[on], to, made))
+                row, place, to, own = (np.concatenate(c) for c in zip(*hits))
                 if not len(row):
                     continue
                 met, local = np.unique(row, return_inverse=True)
                 drawn = Sketches([part[i] for i in met])
+                found = []
                 for n in (*OPENINGS, None):
                     words = drawn.before(local, place) if n is None else np.full(len(row), n)
                     has = np.flatnonzero((words >= OPENINGS[0]) & (words < drawn.size[local]))
                     made = drawn.bands(local[has], words[has], WHOLE) if n is None else drawn.bands(local[has], words[has], 0) + mixed(words[has].astype(U))[:, None]
-                    made = made + own[has][:, None]
-                    here = wanted.among(made.ravel())
-                    i = has[here // BANDS]
-                    yield pa.RecordBatch.from_arrays([pa.array(made.ravel()[here].view(np.int64)), pa.array(ids[at : at + len(part)][row[i]], pa.int64()), pa.array(place[i].astype(np.int32))], schema=schema)
+                    made = (made + own[has][:, None]).ravel()
+                    here = wanted.among(made)
+                    found.append((made[here], has[here // BANDS]))
+                key, i = (np.concatenate(c) for c in zip(*found))
+                if not len(i):
+                    continue
+                at, each = np.unique(np.stack([row[i], to[i]]), axis=1, return_inverse=True)
+                at, each = at.T, each.ravel()
+                same = mixed(x.of(start[at[:, 0]], start[at[:, 0]] + at[:, 1]) + mixed(at[:, 1].astype(U)))
+                counts, bits = zip(*(shingled(part[r][:p]) for r, p in at.tolist()))
+                cols = [key.view(np.int64), ids[first : first + len(part)][row[i]], to[i].astype(np.int32), same.view(np.int64)[each], np.array(counts, np.int32)[each], *np.array(bits, np.int64).T[:, each]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
 
-    return texts.select("id", "text").mapInArrow(run, "key bigint, b bigint, at int")
+    return texts.select("id", "text").mapInArrow(run, ", ".join(["key bigint, b bigint, at int, same bigint, n int", *(f"{w} bigint" for w in _BITS)]))
 
 
 def where_it_goes_on(s: str, long: str, at: int) -> int | None:
@@ -379,21 +458,24 @@ def ends_early(short: str, long: str, at: int) -> bool:
     return len(x & y) >= ALIKE * max(1, len(x | y) - SHINGLE)
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(id): the a of those pairs (a, b, at) that hold."""
-    pairs = keep(pairs)
-    ids = keep(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+def texts_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
+    """(id, text) of the ids, which are written and distinct."""
     n = ids.count()
     if n <= PAIRED:
-        own = texts.join(F.broadcast(ids), "id", "left_semi").select("id", "text")
-    else:
-        at = lookups.written(ids, n)
+        return texts.join(F.broadcast(ids), "id", "left_semi").select("id", "text")
+    at = lookups.written(ids, n)
 
-        def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                yield batch.take(pa.array(lookups.values(at).among(batch.column("id").to_numpy().view(U))))
+    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.take(pa.array(lookups.values(at).among(batch.column("id").to_numpy().view(U))))
+
+    return keep(texts.select("id", "text").mapInArrow(wanted, "id bigint, text string"))
 
-        own = keep(texts.select("id", "text").mapInArrow(wanted, "id bigint, text string"))
+
+def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(id): the a of those pairs (a, b, at) that hold."""
+    pairs = keep(pairs)
+    own = texts_of(keep(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()), texts)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -403,22 +485,46 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return keep(pairs.join(ta, "a").join(tb, "b").select("a", "ta", "tb", "at").mapInPandas(run, "id bigint").distinct())
 
 
+def sizes(ids: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, own_n, own_w0, ...): shingled() of the texts of the ids."""
+    names = ["own_n", *(f"own_{w}" for w in _BITS)]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            got = [shingled(stem(t)) for t in f["text"]]
+            yield pd.DataFrame([(i, n, *w) for i, (n, w) in zip(f["id"], got)], columns=["a", *names])
+
+    return keep(texts_of(ids, texts).mapInPandas(run, ", ".join(["a bigint, own_n int", *(f"{x} bigint" for x in names[1:])])))
+
+
+def may_agree() -> Column:
+    """Whether no more shingles than a near-copy may have are in one of two bitmaps only: true of all pairs that ends_early() takes."""
+    alone = lambda x, y: sum((F.bit_count(F.col(x.format(w)).bitwiseAND(F.bitwise_not(F.col(y.format(w))))) for w in _BITS), F.lit(0))
+    both = F.least(F.col("own_n") - alone("own_{}", "{}"), F.col("n") - alone("{}", "own_{}"))
+    return both + 1e-6 >= ALIKE * F.greatest(F.lit(1), F.col("own_n") + F.col("n") - both - SHINGLE)
+
+
 def early_copies(texts: DataFrame) -> DataFrame:
     """(id): texts of which a near-copy goes on where they end; those of fewer than seven words or 32 characters have none.
 
-    An open text is first held against one text of each of its keys, which is linear, and only if none of these goes on, against all of them.
+    An open text is first held against one text of each of its keys, which is linear, and only if none of these goes on, against all
+    whose shingles may agree, of equal ones two (the open text may be one of them).
     """
     opened = keep(ends(texts))
     n = opened.count()
     if not n:
         return opened.select("id")
-    tails, keys = (lookups.written(opened.select(F.explode(c)), n * each) for c, each in (("tails", len(BEFORE)), ("keys", len(BEFORE) * 2 * BANDS)))
+    tails, keys = (lookups.written(opened.select(F.explode(c)), n * len(BEFORE) * each) for c, each in (("tails", 1), (F.concat("marks", "keys"), 2 + 2 * BANDS)))
     met = places(texts, tails, keys)
     met, posted = keep(met), opened.select(F.col("id").alias("a"), F.explode("keys").alias("key"))
+    posted = keep(posted.join(met.select("key").distinct(), "key", "left_semi"))
     one = met.groupBy("key").agg(F.max(F.struct("b", "at")).alias("m"), F.min(F.struct("b", "at")).alias("l"))
-    one = posted.join(one, "key").select("a", F.explode(F.array("m", "l")).alias("m")).select("a", "m.b", "m.at").where("a <> b").distinct()
+    one = keep(posted.join(one, "key").select("a", F.explode(F.array("m", "l")).alias("m")).select("a", "m.b", "m.at").where("a <> b").distinct())
     sure = confirmed(one, texts)
-    left = posted.join(sure.withColumnRenamed("id", "a"), "a", "left_anti").join(met, "key").where("a <> b").select("a", "b", "at").distinct()
+    posted = posted.join(sure.withColumnRenamed("id", "a"), "a", "left_anti")
+    own = sizes(keep(posted.select(F.col("a").alias("id")).distinct()), texts)
+    each = met.groupBy("key", "same").agg(F.max(F.struct("b", "at")).alias("m"), F.min(F.struct("b", "at")).alias("l"), *(F.first(c).alias(c) for c in ("n", *_BITS)))
+    left = posted.join(own, "a").join(each, "key").where(may_agree()).select("a", F.explode(F.array("m", "l")).alias("m")).select("a", "m.b", "m.at").where("a <> b").distinct()
     return sure.union(confirmed(left.join(one, ["a", "b", "at"], "left_anti"), texts))
 
 

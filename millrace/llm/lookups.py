@@ -16,11 +16,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import fresh
-from .arrays import U
+from .arrays import MIX, U
 
 #: Values in a file, about: a task sorts those of one.
 PART = 1 << 21
 #: Bits of the filter before the search: so many a value, within these powers of two. The smallest is held as bytes, which are faster.
+#: Below the largest a value has two bits, so that few of a large set's other values are searched for.
 FILTER, LEAST, MOST = 32, 22, 29
 
 
@@ -62,15 +63,23 @@ class Values:
         self.bits = min(MOST, max(LEAST, (FILTER * size).bit_length()))
         self.flat = self.bits == LEAST
         self.some = np.zeros(1 << self.bits - (0 if self.flat else 3), bool if self.flat else np.uint8)
+        self.twice = self.bits < MOST
         for x in self.parts:
             for i in range(0, len(x), 1 << 20):
-                top = x[i : i + (1 << 20)] >> U(64 - self.bits)
-                if self.flat:
-                    self.some[top.astype(np.int64)] = True
-                else:
-                    byte = (top >> U(3)).astype(np.int64)
-                    first = np.flatnonzero(np.diff(byte, prepend=-1))
-                    self.some[byte[first]] |= np.bitwise_or.reduceat(np.uint8(1) << (top & U(7)).astype(np.uint8), first)
+                own = x[i : i + (1 << 20)]
+                self.note(own)
+                if self.twice:
+                    self.note(np.sort(own * U(MIX[0])))
+
+    def note(self, x: np.ndarray) -> None:
+        """Sets the bits of sorted values."""
+        top = x >> U(64 - self.bits)
+        if self.flat:
+            self.some[top.astype(np.int64)] = True
+        elif len(x):
+            byte = (top >> U(3)).astype(np.int64)
+            first = np.flatnonzero(np.diff(byte, prepend=-1))
+            self.some[byte[first]] |= np.bitwise_or.reduceat(np.uint8(1) << (top & U(7)).astype(np.uint8), first)
 
     def maybe(self, x: np.ndarray) -> np.ndarray:
         """For each of x whether it may be in the set; false where it is certainly not."""
@@ -81,6 +90,9 @@ class Values:
         """The indices of those of x that are in the set."""
         at = np.flatnonzero(self.maybe(x))
         own = x[at]
+        if self.twice:
+            ok = self.maybe(own * U(MIX[0]))
+            at, own = at[ok], own[ok]
         if len(self.parts) == 1:
             return at[self.parts[0][np.minimum(np.searchsorted(self.parts[0], own), len(self.parts[0]) - 1)] == own]
         part, here = np.searchsorted(self.firsts, own, "right") - 1, np.zeros(len(own), bool)

@@ -118,6 +118,60 @@ def test_cut_copies_are_found_whatever_they_begin_with(spark):
     assert got == {*range(100, 106), *range(110, 116)}
 
 
+def test_pairs_that_share_an_opening_and_an_end_are_not_all_held_against_each_other(spark, monkeypatch):
+    rnd, n, pairs = random.Random(5), 40, []
+    words = lambda k: " ".join("".join(rnd.choices("abcdefghijklmnop", k=7)) for _ in range(k))
+    start, end = words(45) + " ", " and the parcel has been handed over to the courier at the gate of the"
+    data = [(i, start + words(300) + end) for i in range(n)] + [(100 + i, start + words(300) + end + " house " + words(10)) for i in range(n)]
+    whole = start + words(300) + end
+    data += [(200, whole), (201, whole + " house " + words(10))]
+    confirmed = cuts.confirmed
+    monkeypatch.setattr(cuts, "confirmed", lambda p, texts: (pairs.append(p.count()), confirmed(p, texts))[1])
+    assert {r[0] for r in cuts.early_copies(spark.createDataFrame(data, "id bigint, text string")).collect()} == {200}
+    assert 0 < sum(pairs) <= 10 * n  # not all n * n
+
+
+def test_shingles_rule_out_no_pair_that_holds(spark):
+    rnd, rows, held = random.Random(6), [], 0
+    for k in range(300):
+        x = rnd.choices([f"w{i}" for i in range(rnd.choice((5, 400)))], k=rnd.randint(6, 700))
+        y = [w if rnd.random() > 0.02 * rnd.random() else "other" for w in x]
+        short = " ".join(x) + " and here it was"
+        long = " ".join(y) + " and here it was cut"
+        if cuts.ends_early(short, long, long.rfind(" cut")):
+            held += 1
+            rows.append((k, *(v for t in (short, long[: long.rfind(" cut")]) for n, w in (cuts.shingled(t),) for v in (n, *w))))
+    names = [p + c for p in ("own_", "") for c in ("n", *cuts._BITS)]
+    df = spark.createDataFrame(rows, "k int, " + ", ".join(f"{c} {'int' if c.endswith('n') else 'bigint'}" for c in names))
+    assert held > 100 and df.where(cuts.may_agree()).count() == held
+
+
+def test_places_where_texts_go_on_match_brute_force():
+    rnd, texts = random.Random(7), []
+    for _ in range(60):
+        texts.append("".join(rnd.choices(["ab ", "ab", " ", "\n", ",", ";", ".", "é", "a b a b a b a b a b a b "], k=40)))
+    x, stop = cuts.Stretches(texts), cuts.np.cumsum([len(t) + 1 for t in texts])
+    for t, end in zip(texts, stop):
+        at = cuts.np.arange(1, len(t))
+        assert x.go_on(at + end - len(t) - 1).tolist() == [cuts.goes_on(t[:i], t, i) for i in at]
+    row = cuts.np.repeat(cuts.np.arange(len(texts)), 20)
+    place = cuts.np.array([rnd.randint(40, len(texts[r]) - 1) for r in row])
+    start, size = (stop - [len(t) + 1 for t in texts])[row], cuts.np.array([len(t) for t in texts])[row]
+    own, tail = cuts.mixed(cuts.np.arange(len(row), dtype=cuts.U)), x.of(start + place - cuts.TAIL, start + place)
+
+    class Wanted:
+        values = own + cuts.mixed(tail)
+
+        def among(self, v):
+            return cuts.np.flatnonzero(cuts.np.isin(v, self.values))
+
+    hit, to, _ = cuts.going_on(x, Wanted(), own, place, start, size, True)
+    both = cuts.going_on(x, Wanted(), own, place, start, size, False)
+    assert both[0].tolist() == hit.tolist() and both[1].tolist() == to.tolist()
+    want = {i: p for i, (r, at) in enumerate(zip(row, place)) if (p := cuts.where_it_goes_on(texts[r][:at], texts[r], at)) is not None}
+    assert dict(zip(hit.tolist(), to.tolist())) == want and len(want) > 300
+
+
 def test_sketches_of_words_before_a_place():
     rng = random.Random(17)
     texts = [text(rng, rng.randrange(8, 60)) for _ in range(20)] + ["", "İÇ Straße ÉTÉ " * 5]
