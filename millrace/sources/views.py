@@ -42,13 +42,13 @@ def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chats(spark, sf_dir).select(F.col("chat_id").alias("conv_id"), F.try_element_at(user, F.lit(1))["content"].alias("prompt")).where("prompt is not null")
 
 
-def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(conv_id, turn, pos, tok, lp_student, lp_teacher, mask): the words of every message with hashed log-probabilities."""
-    m = messages(spark, sf_dir).select("conv_id", "turn", "role", F.filter(F.split("text", "\\s+"), lambda x: x != "").alias("toks"))
-    t = m.select("conv_id", "turn", "role", F.posexplode("toks").alias("pos", "tok"))
+def tokens(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """(conv_id, turn, pos, tok, lp_student, lp_teacher, mask): the words of every message with hashed log-probabilities, and more columns of the messages."""
+    m = messages(spark, sf_dir).select("conv_id", "turn", "role", *more, F.filter(F.split("text", "\\s+"), lambda x: x != "").alias("toks"))
+    t = m.select("conv_id", "turn", "role", *more, F.posexplode("toks").alias("pos", "tok"))
     at = text_of(F.col("conv_id"), ":", F.col("turn"), ":", F.col("pos"))
     lp = lambda salt: -(h7(F.concat(F.lit(salt), at)) % 1000) / 100.0
-    return t.select("conv_id", "turn", "pos", "tok", lp("s:").alias("lp_student"), lp("t:").alias("lp_teacher"), (F.col("role") == "assistant").cast("int").alias("mask"))
+    return t.select("conv_id", "turn", "pos", "tok", lp("s:").alias("lp_student"), lp("t:").alias("lp_teacher"), (F.col("role") == "assistant").cast("int").alias("mask"), *more)
 
 
 def rewards(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -371,3 +371,20 @@ def test_tools_encoded_six_times_over():
     for _ in range(6):
         text = json.dumps(text)
     assert declared(text) == [{"name": "find"}]
+
+
+def test_divergences_by_source_read_the_conversations_once(spark, tmp_path):
+    import duckdb
+
+    from millrace.plans import training as plans
+
+    # repeated deliveries with other sources, a null source, an empty conversation
+    data = [(1, "a", [msg("assistant", "one two")], "2024-01-01"), (1, "b", [msg("assistant", "one two three")], "2024-01-02"), (2, None, [msg("user", "x"), msg("assistant", "four")], None), (3, "b", [], None), (4, "b", [msg("assistant", "five"), msg("assistant")], None), (None, "c", [msg("assistant", "six")], None)]
+    df = spark.createDataFrame(data, f"chat_id bigint, source string, messages array<{MESSAGE}>, at string").withColumn("ingested_at", F.to_timestamp("at")).drop("at")
+    df.coalesce(1).write.parquet(str(tmp_path / "chats.parquet"))
+    got = plans.distill_kl(spark, str(tmp_path))
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW chats AS SELECT * FROM '{tmp_path}/chats.parquet/*.parquet'")
+    assert rows(got) == set(db.execute(plans.ORACLE["distill_kl"]).fetchall()) and got.count() == 2
+    # the conversations and their repeated deliveries, no more
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
