@@ -20,7 +20,7 @@ import zlib
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
-from functools import cache, lru_cache
+from functools import cache, cached_property, lru_cache
 from hashlib import blake2b
 
 import numpy as np
@@ -301,13 +301,14 @@ class Stretches:
     def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
         return (self.sums[stop] - self.sums[start]) * self.down[start]
 
-    def go_on(self, at: np.ndarray) -> np.ndarray:
-        """goes_on() of what stands before places that are inside texts or at their ends."""
-        x, stop = self.points, at.copy()
-        while len(blank := np.flatnonzero(x[stop] == 32)):
-            stop[blank] += 1
-        after = x[stop]
-        return alnum()[x[at - 1]] & alnum()[x[at]] | alnum()[after] | (after == 44) | (after == 59)
+    @cached_property
+    def goes(self) -> np.ndarray:
+        """By place whether goes_on() there, whatever stands before."""
+        x = self.points
+        out = alnum()[x] | (x == 44) | (x == 59)
+        blank, other = np.flatnonzero(x == 32), np.flatnonzero(x != 32)
+        out[blank] = out[other[np.searchsorted(other, blank)]]
+        return out
 
 
 @cache
@@ -357,7 +358,7 @@ def going_on(x: Stretches, wanted: lookups.Values, own: np.ndarray, place: np.nd
     g = start[hit] + to
     ok = np.flatnonzero(x.points[g - 1] == x.points[(start + place)[hit] - 1]) if exact else slice(None)
     hit, to, g = hit[ok], to[ok], g[ok]
-    ok = x.go_on(g)
+    ok = x.goes[g]
     hit, to, g = hit[ok], to[ok], g[ok]
     made = own[hit] + mixed(x.of(g - TAIL, g))
     ok = wanted.among(made)
@@ -393,7 +394,7 @@ def places(texts: DataFrame, tails: str, keys: str) -> DataFrame:
         known, wanted = lookups.values(tails), lookups.values(keys)
         for batch in batches:
             ids = batch.column("id").to_numpy()
-            for first, part in chunks(batch, most=1 << 15):
+            for first, part in chunks(batch, most=1 << 17):
                 x = Stretches(part)
                 h = x.every()
                 some = known.among(h)

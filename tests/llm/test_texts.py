@@ -153,7 +153,7 @@ def test_places_where_texts_go_on_match_brute_force():
     x, stop = cuts.Stretches(texts), cuts.np.cumsum([len(t) + 1 for t in texts])
     for t, end in zip(texts, stop):
         at = cuts.np.arange(1, len(t))
-        assert x.go_on(at + end - len(t) - 1).tolist() == [cuts.goes_on(t[:i], t, i) for i in at]
+        assert x.goes[at + end - len(t) - 1].tolist() == [cuts.goes_on(t[:i], t, i) for i in at]
     row = cuts.np.repeat(cuts.np.arange(len(texts)), 20)
     place = cuts.np.array([rnd.randint(40, len(texts[r]) - 1) for r in row])
     start, size = (stop - [len(t) + 1 for t in texts])[row], cuts.np.array([len(t) for t in texts])[row]
